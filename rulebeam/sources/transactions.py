@@ -66,14 +66,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transaction-shaped view over ``events`` (one row per event).
+    """Transaction-shaped view over the ``events`` table of ``sf_dir``."""
+    return events_as_transactions(read_table(spark, sf_dir, "events"))
+
+
+def events_as_transactions(ev: DataFrame) -> DataFrame:
+    """Transaction-shaped view over ``events`` (one row per event; works on
+    a batch or a streaming DataFrame).
 
     Birth date, coordinates, gender and the label are integer functions of
     the ids, so any engine derives the same values; the label plants a
     night + large-amount signal. ``split``: 70 % train / 30 % test by id,
     every row in exactly one side.
     """
-    ev = read_table(spark, sf_dir, "events")
     eid, uid, ts = F.col("event_id"), F.col("user_id"), F.col("ts")
     lat = F.lit(25.0) + (uid * 37 % 2400) / F.lit(100.0)
     lon = F.lit(-120.0) + (uid * 53 % 5000) / F.lit(100.0)
