@@ -26,10 +26,9 @@ def item(feature: Column | str, value: Column) -> Column:
 def cell_items(features: Sequence[str]) -> Column:
     """The (feature, value) items of a row, one per feature, with the
     feature's index in generation order."""
-    return F.array(*[
-        F.struct(F.lit(i).alias("fidx"), F.lit(f).alias("feature"), F.col(f).cast("string").alias("value"))
-        for i, f in enumerate(features)
-    ])
+    return F.expr("array(" + ", ".join(
+        f"named_struct('fidx', {i}, 'feature', '{f}', 'value', CAST(`{f}` AS STRING))"
+        for i, f in enumerate(features)) + ")")
 
 
 def pattern_label(items: Column) -> Column:

@@ -42,9 +42,9 @@ def totals(cells: DataFrame) -> DataFrame:
 
 
 def total_columns(cells: DataFrame) -> tuple[Column, Column]:
-    """(N, P) as scalar subqueries: computed once, inlined as values."""
-    t = totals(cells)
-    return t.select("n_total").scalar(), t.select("p_total").scalar()
+    """(N, P) from one scalar subquery: run once per query, inlined as values."""
+    t = totals(cells).select(F.struct("n_total", "p_total")).scalar()
+    return t.getField("n_total"), t.getField("p_total")
 
 
 def split_cells(cells: DataFrame, split: str, split_col: str = "split") -> DataFrame:

@@ -10,6 +10,24 @@ from ..spec import PatternSpec
 DOMAIN_SCHEMA = "feature string, fidx int, value string, vrank int"
 
 
+def sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(v)
+
+
+def literal_table(spark, rows, schema: str) -> DataFrame:
+    """A small parameter table (spec constants), built JVM-side in one call."""
+    if not rows:
+        return spark.createDataFrame([], schema)
+    cols = [c.strip().split(" ", 1) for c in schema.split(",")]
+    values = ", ".join("(" + ", ".join(f"CAST({sql_literal(v)} AS {t})" for v, (_, t) in zip(r, cols)) + ")"
+                       for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(n for n, _ in cols)})")
+
+
 def value_counts(cells: DataFrame, features) -> DataFrame:
     """(feature, value, count) over all rows, from the cell table."""
     long = cells.unpivot(ids=["n"], values=list(features), variableColumnName="feature",
@@ -40,7 +58,7 @@ def item_domain(cells: DataFrame, spec: PatternSpec, level: int) -> DataFrame:
     fixed_rows = [(f, fidx[f], v, r + 1)
                   for f in spec.features if f in fixed
                   for r, v in enumerate(fixed[f])]
-    parts = [spark.createDataFrame(fixed_rows, DOMAIN_SCHEMA)]
+    parts = [literal_table(spark, fixed_rows, DOMAIN_SCHEMA)]
     ranked_features = [f for f in spec.features if f not in fixed]
     if ranked_features:
         idx = F.create_map(*[x for f in ranked_features for x in (F.lit(f), F.lit(fidx[f]))])
@@ -51,3 +69,13 @@ def item_domain(cells: DataFrame, spec: PatternSpec, level: int) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def all_domains(cells: DataFrame, spec: PatternSpec) -> DataFrame:
+    """Candidate domains of every distinct domain level, tagged ``level``."""
+    levels = sorted({spec.domain_level(k) for k in range(2, spec.max_len + 1)})
+    out = None
+    for lv in levels:
+        d = item_domain(cells, spec, lv).withColumn("level", F.lit(lv))
+        out = d if out is None else out.unionByName(d)
+    return out

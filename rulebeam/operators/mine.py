@@ -28,7 +28,7 @@ from ..functions.metrics import with_rule_metrics
 from ..session import materialize
 from ..spec import PatternSpec
 from .cells import total_columns
-from .domain import item_domain
+from .domain import all_domains, item_domain
 
 GEN_KEYS = ("g1", "g2", "g3", "g4")
 PATTERN_COLUMNS = ("pattern_name", "items", "level", "pattern_total", "pattern_fraud",
@@ -45,29 +45,29 @@ def apply_thresholds(df: DataFrame, spec: PatternSpec, level: int) -> DataFrame:
     return df.filter(cond)
 
 
-def _domain_side(domain: DataFrame, suffix: str) -> DataFrame:
-    return F.broadcast(domain.select(F.col("feature").alias(f"f{suffix}"), F.col("value").alias(f"v{suffix}"),
-                                     F.col("vrank").alias(f"r{suffix}")))
-
-
 def pair_counts(cells: DataFrame, spec: PatternSpec, domain: DataFrame | None = None) -> DataFrame:
     """(ia, fa, va, ib, fb, vb[, ra, rb], n, p) for every feature pair i<j
     present in the data; restricted to ``domain`` values when given."""
     feats = spec.features
-    pairs = [F.struct(F.lit(i).alias("ia"), F.lit(a).alias("fa"), F.col(a).alias("va"),
-                      F.lit(j).alias("ib"), F.lit(b).alias("fb"), F.col(b).alias("vb"))
-             for i, a in enumerate(feats) for j, b in enumerate(feats) if i < j]
-    x = cells.select("n", "p", F.inline(F.array(*pairs)))
-    keys = ["ia", "fa", "va", "ib", "fb", "vb"]
+    pairs = ", ".join(
+        f"named_struct('ia', {i}, 'fa', '{a}', 'va', `{a}`, 'ib', {j}, 'fb', '{b}', 'vb', `{b}`)"
+        for i, a in enumerate(feats) for j, b in enumerate(feats) if i < j)
+    x = cells.selectExpr("n", "p", f"inline(array({pairs}))")
+    keys = [x["ia"], x["fa"], x["va"], x["ib"], x["fb"], x["vb"]]
     if domain is not None:
-        x = x.join(_domain_side(domain, "a"), ["fa", "va"]).join(_domain_side(domain, "b"), ["fb", "vb"])
-        keys += ["ra", "rb"]
+        # One broadcast of the domain, probed twice (the exchange is reused).
+        d = F.broadcast(domain.select("feature", "value", "vrank"))
+        da, db = d.alias("da"), d.alias("db")
+        x = (x.join(da, (x["fa"] == F.col("da.feature")) & (x["va"] == F.col("da.value")))
+              .join(db, (x["fb"] == F.col("db.feature")) & (x["vb"] == F.col("db.value"))))
+        keys += [F.col("da.vrank").alias("ra"), F.col("db.vrank").alias("rb")]
     return x.groupBy(*keys).agg(F.sum("n").alias("pattern_total"), F.sum("p").alias("pattern_fraud"))
 
 
-def mine_pairs(cells: DataFrame, spec: PatternSpec, n_total: Column, p_total: Column) -> DataFrame:
+def mine_pairs(cells: DataFrame, spec: PatternSpec, n_total: Column, p_total: Column,
+               domain: DataFrame | None = None) -> DataFrame:
     """M2: kept 2-feature patterns with metrics and generation keys."""
-    g = pair_counts(cells, spec, item_domain(cells, spec, 2))
+    g = pair_counts(cells, spec, item_domain(cells, spec, 2) if domain is None else domain)
     g = g.select(
         F.array(F.struct(F.col("fa").alias("feature"), F.col("va").alias("value")),
                 F.struct(F.col("fb").alias("feature"), F.col("vb").alias("value"))).alias("items"),
@@ -106,9 +106,9 @@ def match_patterns(cells: DataFrame, spec: PatternSpec, patterns: DataFrame, ite
 
 
 def extend_patterns(cells: DataFrame, bases: DataFrame, spec: PatternSpec, level: int,
-                    n_total: Column, p_total: Column) -> DataFrame:
+                    n_total: Column, p_total: Column, domain: DataFrame | None = None) -> DataFrame:
     """M3: bases (items, level_rank) + one item of an unused feature."""
-    domain = item_domain(cells, spec, level)
+    domain = item_domain(cells, spec, level) if domain is None else domain
     b = bases.select(F.col("items").alias("base_items"), F.col("level_rank").alias("base_rank"))
     m = match_patterns(cells, spec, b, "base_items")
     new = m.select("n", "p", "base_rank", F.explode(F.filter(
@@ -164,11 +164,17 @@ def mine(cells: DataFrame, spec: PatternSpec) -> DataFrame:
     support, confidence, lift, score, level_rank, rank, pattern_type.
     """
     n_total, p_total = total_columns(cells)
-    level = materialize(rank_level(mine_pairs(cells, spec, n_total, p_total), spec))
+    domains = materialize(all_domains(cells, spec), "domains")
+
+    def domain(k):
+        return domains.filter(F.col("level") == spec.domain_level(k)).drop("level")
+
+    level = materialize(rank_level(mine_pairs(cells, spec, n_total, p_total, domain(2)), spec), "level2")
     levels = [level]
     for k in range(3, spec.max_len + 1):
         bases = beam(level, spec.beam)
-        level = materialize(rank_level(extend_patterns(cells, bases, spec, k, n_total, p_total), spec))
+        level = materialize(rank_level(extend_patterns(cells, bases, spec, k, n_total, p_total, domain(k)), spec),
+                            f"level{k}")
         levels.append(level)
     merged = levels[0]
     for lv in levels[1:]:

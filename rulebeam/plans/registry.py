@@ -18,7 +18,7 @@ from ..functions.items import pattern_label
 from ..operators import profile as P
 from ..operators import report as R
 from ..operators.cells import build_cells, split_cells, total_columns
-from ..operators.domain import item_domain, top_values
+from ..operators.domain import item_domain, literal_table, top_values
 from ..operators.mine import (extend_patterns, mine_pairs, pair_counts, rank_level, top_n)
 from ..operators.validate import funnel, validate_labels
 from ..plans.mining import MiningRun
@@ -213,8 +213,8 @@ def q_min_lift(spark, sf):
 
 def q_pattern_metrics_given(spark, sf):
     spec, cells = _train_cells(spark, sf)
-    labels = spark.createDataFrame([(i + 1, t) for i, t in enumerate(GIVEN_PATTERNS)],
-                                   "pattern_id int, pattern_name string")
+    labels = literal_table(spark, [(i + 1, t) for i, t in enumerate(GIVEN_PATTERNS)],
+                           "pattern_id int, pattern_name string")
     return validate_labels(labels, cells, spec).drop("items")
 
 
