@@ -88,20 +88,28 @@ def contains_all(cell: Column, items: Column) -> Column:
         cell, lambda c: (c["feature"] == it["feature"]) & (c["value"] == it["value"])))
 
 
-def match_first_item(cells: DataFrame, spec: PatternSpec, patterns: DataFrame, items_col: str = "items") -> DataFrame:
+def match_first_item(cells: DataFrame, spec: PatternSpec, patterns: DataFrame, items_col: str = "items",
+                     bounded: bool = False) -> DataFrame:
     """Cells joined to the patterns whose first item they hold (equi-join on
-    (feature, value); ``patterns`` is broadcast and must be small: a beam or
-    a top-N table)."""
+    (feature, value)).
+
+    ``bounded=True`` states that ``patterns`` has a structural size bound (a
+    beam or a top-N table) and broadcasts it. Otherwise the join strategy is
+    left to the optimizer, which broadcasts only when the measured size is
+    under ``spark.sql.autoBroadcastJoinThreshold`` and else shuffles both
+    sides (AQE splits a hot first item)."""
     c = cells_with_items(cells, spec).select("n", "p", "cell", F.explode("cell").alias("it"))
     pats = patterns.withColumns({"_f0": F.col(items_col)[0]["feature"], "_v0": F.col(items_col)[0]["value"]})
-    pats = F.broadcast(pats)
+    if bounded:
+        pats = F.broadcast(pats)
     j = c.join(pats, (c["it"]["feature"] == pats["_f0"]) & (c["it"]["value"] == pats["_v0"]))
     return j.drop("it", "_f0", "_v0")
 
 
-def match_patterns(cells: DataFrame, spec: PatternSpec, patterns: DataFrame, items_col: str = "items") -> DataFrame:
+def match_patterns(cells: DataFrame, spec: PatternSpec, patterns: DataFrame, items_col: str = "items",
+                   bounded: bool = False) -> DataFrame:
     """Cells joined to every pattern they contain completely."""
-    m = match_first_item(cells, spec, patterns, items_col)
+    m = match_first_item(cells, spec, patterns, items_col, bounded)
     return m.filter(contains_all(F.col("cell"), F.col(items_col)))
 
 
@@ -110,7 +118,7 @@ def extend_patterns(cells: DataFrame, bases: DataFrame, spec: PatternSpec, level
     """M3: bases (items, level_rank) + one item of an unused feature."""
     domain = item_domain(cells, spec, level) if domain is None else domain
     b = bases.select(F.col("items").alias("base_items"), F.col("level_rank").alias("base_rank"))
-    m = match_patterns(cells, spec, b, "base_items")
+    m = match_patterns(cells, spec, b, "base_items", bounded=True)  # at most spec.beam bases
     new = m.select("n", "p", "base_rank", F.explode(F.filter(
         "cell", lambda c: ~F.exists("base_items", lambda bi: bi["feature"] == c["feature"]))).alias("it"))
     new = new.select("n", "p", "base_rank", F.col("it.fidx").alias("fidx"), F.col("it.feature").alias("feature"),

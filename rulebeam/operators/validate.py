@@ -20,25 +20,25 @@ NO_MATCH = "No matching transactions"
 
 
 def pattern_metrics(cells: DataFrame, patterns: DataFrame, spec: PatternSpec, key: str = "rank",
-                    items_col: str = "items") -> DataFrame:
+                    items_col: str = "items", bounded: bool = False) -> DataFrame:
     """G9 for a (small) table of patterns: key, pattern_total, pattern_fraud,
     support, confidence, lift, score. Patterns matching no row have no output
     row (left-join the result to keep them)."""
     n_total, p_total = total_columns(cells)
-    m = match_patterns(cells, spec, patterns.select(key, items_col), items_col)
+    m = match_patterns(cells, spec, patterns.select(key, items_col), items_col, bounded)
     g = m.groupBy(key).agg(F.sum("n").alias("pattern_total"), F.sum("p").alias("pattern_fraud"))
     met = rule_metrics(F.col("pattern_total"), F.col("pattern_fraud"), n_total, p_total)
     return g.withColumns({k: met[k] for k in ("support", "confidence", "lift", "score")})
 
 
 def validate(train_patterns: DataFrame, test_cells: DataFrame, spec: PatternSpec,
-             key: str = "rank", dataset: str = "Test") -> DataFrame:
+             key: str = "rank", dataset: str = "Test", bounded: bool = False) -> DataFrame:
     """Train metrics next to test metrics, one row per pattern.
 
     ``valid`` means at least one matching test row; otherwise ``reason`` says
     why and the test columns are null. Differences are absolute.
     """
-    test = pattern_metrics(test_cells, train_patterns, spec, key)
+    test = pattern_metrics(test_cells, train_patterns, spec, key, bounded=bounded)
     test = test.select(key, *[F.col(c).alias(f"test_{c}") for c in
                               ("pattern_total", "pattern_fraud", "support", "confidence", "lift")])
     t = train_patterns.select(key, "pattern_name", "items",
@@ -85,11 +85,12 @@ def validate_labels(labels: DataFrame, cells: DataFrame, spec: PatternSpec, key:
     }).drop("parsed_ok", "parse_reason")
 
 
-def funnel(cells: DataFrame, patterns: DataFrame, spec: PatternSpec, key: str = "rank") -> DataFrame:
+def funnel(cells: DataFrame, patterns: DataFrame, spec: PatternSpec, key: str = "rank",
+           bounded: bool = False) -> DataFrame:
     """rows left after each successive item condition, for every pattern
     in one pass: ``after_k`` = rows matching the first k items (null where the
     pattern has fewer than k items)."""
-    m = match_first_item(cells, spec, patterns.select(key, "items"))
+    m = match_first_item(cells, spec, patterns.select(key, "items"), bounded=bounded)
     steps = {}
     for k in range(1, spec.max_len + 1):
         prefix_ok = contains_all(F.col("cell"), F.slice("items", 1, k))

@@ -53,8 +53,8 @@ class MiningRun:
 
     @cached_property
     def validated(self) -> DataFrame:
-        return stability(validate(top_n(self.patterns, self.spec.validate_n), self.test_cells, self.spec),
-                         self.spec)
+        top = top_n(self.patterns, self.spec.validate_n)  # at most validate_n rows: broadcast
+        return stability(validate(top, self.test_cells, self.spec, bounded=True), self.spec)
 
     def summary(self, run_id: str | None = None) -> DataFrame:
         comp = composition(self.train_cells)

@@ -416,6 +416,11 @@ FROM stab WHERE valid AND train_confidence > 0""", *val),
   SELECT rank, pattern_name, valid, 'support' AS metric, train_support AS train_value, test_support AS test_value, 1 AS o FROM stab
   UNION ALL SELECT rank, pattern_name, valid, 'confidence', train_confidence, test_confidence, 2 FROM stab
   UNION ALL SELECT rank, pattern_name, valid, 'lift', train_lift, test_lift, 3 FROM stab)""", *val),
+        "chart_summary_exported": q("""SELECT count(*) AS n_patterns,
+  round(CASE WHEN max(confidence) <= 1.0 THEN avg(confidence) * 100 ELSE avg(confidence) END, 9) AS avg_confidence_pct,
+  CASE WHEN max(confidence) <= 1.0 THEN max(confidence) * 100 ELSE max(confidence) END AS max_confidence_pct
+FROM allp""", *mine),
+        "chart_total_only": q("SELECT count(*) AS n_patterns FROM allp", *mine),
         "streaming_cells": None,
     })
     out["streaming_cells"] = out["cells"]

@@ -222,7 +222,7 @@ def q_pattern_metrics_given(spark, sf):
 
 def q_pattern_funnel(spark, sf):
     r = run(spark, sf)
-    return funnel(r.test_cells, top_n(r.patterns, r.spec.validate_n), r.spec)
+    return funnel(r.test_cells, top_n(r.patterns, r.spec.validate_n), r.spec, bounded=True)
 
 
 VALIDATION_OUT = ("rank", "pattern_name", "valid", "reason", "train_pattern_total", "train_pattern_fraud",
@@ -292,6 +292,21 @@ def q_validation_long(spark, sf):
     return R.validation_long(run(spark, sf).validated)
 
 
+def q_chart_summary_exported(spark, sf):
+    """C8 on the exported column names (Confidence as a 0-1 column)."""
+    from ..operators.charts import chart_summary
+    s = chart_summary(K.to_export_shape(run(spark, sf).patterns))
+    return s.select("n_patterns", F.round("avg_confidence_pct", 9).alias("avg_confidence_pct"),
+                    "max_confidence_pct")
+
+
+def q_chart_total_only(spark, sf):
+    """A pattern table without any confidence column gives the count only."""
+    from ..operators.charts import chart_summary
+    exported = K.to_export_shape(run(spark, sf).patterns).drop("Confidence", "Fraud_Rate_Percent")
+    return chart_summary(exported)
+
+
 def q_summary_lines(spark, sf):
     return R.summary_lines(run(spark, sf).patterns, source="patterns", generated="run")
 
@@ -358,6 +373,8 @@ def all_queries() -> dict[str, Query]:
         "significance": q_significance,
         "confidence_drop": q_confidence_drop,
         "validation_long": q_validation_long,
+        "chart_summary_exported": q_chart_summary_exported,
+        "chart_total_only": q_chart_total_only,
         "summary_lines": q_summary_lines,
         "export_roundtrip": q_export_roundtrip,
         "streaming_cells": q_streaming_cells,
