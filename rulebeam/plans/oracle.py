@@ -70,41 +70,86 @@ ALL_COLUMNS = ("event_id", "trans_date_trans_time", "dob", "amt", "category", "g
 DOUBLE_COLUMNS = ("amt", "lat", "long", "merch_lat", "merch_long", "distance_km")
 
 
-def q(body: str, *ctes: str) -> str:
+LINEITEM = f"""
+lf AS (
+  SELECT CAST(l.l_orderkey AS VARCHAR) || '/' || CAST(l.l_linenumber AS VARCHAR) || '/'
+      || CAST(l.l_partkey AS VARCHAR) || '/' || CAST(l.l_suppkey AS VARCHAR) AS row_id,
+    CASE WHEN l.l_orderkey % 10 < 7 THEN 'train' ELSE 'test' END AS split,
+    o.o_orderpriority AS order_priority, c.c_mktsegment AS segment, split_part(p.p_type, ' ', 1) AS part_class,
+    l.l_linestatus AS line_status, o.o_orderstatus AS order_status,
+    {{bands}},
+    CAST(CASE WHEN l.l_returnflag = '{S.RETURNED_FLAG}' THEN 1 ELSE 0 END AS INTEGER) AS is_returned
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  JOIN customer c ON o.o_custkey = c.c_custkey JOIN part p ON l.l_partkey = p.p_partkey
+),
+train AS (SELECT * FROM lf WHERE split = 'train'),
+test AS (SELECT * FROM lf WHERE split = 'test')"""
+
+
+def band_sql(col: str, edges, labels, name: str) -> str:
+    whens = " ".join(f"WHEN {col} < CAST({e!r} AS DOUBLE) THEN '{lab}'" for e, lab in zip(edges, labels))
+    return f"CASE {whens} ELSE '{labels[-1]}' END AS {name}"
+
+
+LINEITEM = LINEITEM.replace("{bands}", ",\n    ".join([
+    band_sql("l.l_quantity", S.QUANTITY_EDGES, S.QUANTITY_LABELS, "quantity_band"),
+    band_sql("l.l_extendedprice", S.PRICE_EDGES, S.PRICE_LABELS, "price_band"),
+    band_sql("l.l_discount", S.DISCOUNT_EDGES, S.DISCOUNT_LABELS, "discount_band"),
+]))
+
+
+class Binding:
+    """What the SQL generator needs to know about a transaction view."""
+
+    def __init__(self, base: str, feats, domains, label: str, row_id: str):
+        self.base, self.feats, self.domains, self.label, self.row_id = base, feats, domains, label, row_id
+
+
+EVENTS = Binding(TXN, S.MINING_FEATURES, S.EVENT_DOMAINS, "is_fraud", "event_id")
+ORDER_LINES = Binding(LINEITEM, S.LINEITEM_FEATURES, {}, "is_returned", "row_id")
+
+
+def q(body: str, *ctes: str, b: Binding = EVENTS) -> str:
     extra = "".join(f",\n{c}" for c in ctes)
-    return f"WITH {TXN.strip()}{extra}\n{body}"
+    return f"WITH {b.base.strip()}{extra}\n{body}"
 
 
 def sql_str(v: str) -> str:
     return "'" + v.replace("'", "''") + "'"
 
 
-def long_form(src: str, name: str) -> str:
-    """Rows -> (event_id, is_fraud, fidx, feature, value)."""
-    parts = [f"SELECT event_id, is_fraud, {i} AS fidx, '{f}' AS feature, CAST({f} AS VARCHAR) AS value FROM {src}"
-             for i, f in enumerate(FEATS)]
+def long_form(src: str, name: str, b: Binding = EVENTS) -> str:
+    """Rows -> (event_id, is_fraud, fidx, feature, value) (row id and label under fixed names)."""
+    parts = [f"SELECT {b.row_id} AS event_id, {b.label} AS is_fraud, {i} AS fidx, '{f}' AS feature, "
+             f"CAST({f} AS VARCHAR) AS value FROM {src}"
+             for i, f in enumerate(b.feats)]
     return f"{name} AS (\n  " + "\n  UNION ALL ".join(parts) + "\n)"
 
 
-def domain_ctes(src_long: str) -> list[str]:
-    fixed2, fixed3 = DOMAINS[2], DOMAINS[3]
-    ranked = [f for f in FEATS if f not in fixed2]
-    fidx_rows = ", ".join(f"('{f}', {FEATS.index(f)})" for f in ranked)
+def domain_ctes(src_long: str, b: Binding = EVENTS) -> list[str]:
+    feats = b.feats
+    fixed2, fixed3 = b.domains.get(2, {}), b.domains.get(3, {})
+
+    def fidx_rows(fixed):
+        return ", ".join(f"('{f}', {feats.index(f)})" for f in feats if f not in fixed)
 
     def fixed_values(fixed):
-        return ", ".join(f"('{f}', {FEATS.index(f)}, {sql_str(v)}, {r + 1})"
-                         for f in FEATS if f in fixed for r, v in enumerate(fixed[f]))
+        rows = [f"('{f}', {feats.index(f)}, {sql_str(v)}, {r + 1})"
+                for f in feats if f in fixed for r, v in enumerate(fixed[f])]
+        if not rows:
+            return "SELECT * FROM (VALUES ('', 0, '', 0)) t(feature, fidx, value, vrank) WHERE false"
+        return f"SELECT * FROM (VALUES {', '.join(rows)}) t(feature, fidx, value, vrank)"
 
     out = [
         f"vc AS (SELECT feature, value, count(*) AS cnt FROM {src_long} GROUP BY feature, value)",
         "ranked AS (SELECT feature, value, cnt, row_number() OVER (PARTITION BY feature "
         "ORDER BY cnt DESC, value ASC NULLS LAST) AS r FROM vc)",
-        f"rf(feature, fidx) AS (VALUES {fidx_rows})",
     ]
     for lvl, fixed, k in ((2, fixed2, S.PatternSpec.top_k(2)), (3, fixed3, S.PatternSpec.top_k(3))):
+        out.append(f"rf{lvl}(feature, fidx) AS (VALUES {fidx_rows(fixed)})")
         out.append(
-            f"dom{lvl} AS (SELECT * FROM (VALUES {fixed_values(fixed)}) t(feature, fidx, value, vrank)\n"
-            f"  UNION ALL SELECT r.feature, rf.fidx, r.value, r.r FROM ranked r JOIN rf ON r.feature = rf.feature\n"
+            f"dom{lvl} AS ({fixed_values(fixed)}\n"
+            f"  UNION ALL SELECT r.feature, rf.fidx, r.value, r.r FROM ranked r JOIN rf{lvl} rf ON r.feature = rf.feature\n"
             f"  WHERE r.r <= {k} AND r.value IS NOT NULL)")
     return out
 
@@ -118,15 +163,19 @@ def metric_sql(n: str, p: str) -> str:
             f"{lift} * {conf} * ({n} / tot.n_total) AS score")
 
 
-TOT = ("tot AS (SELECT count(*) AS n_total, count(*) FILTER (WHERE is_fraud = 1) AS p_total, "
-       "count(*) FILTER (WHERE is_fraud = 0) AS q_total FROM train)")
+def tot_cte(b: Binding = EVENTS) -> str:
+    return (f"tot AS (SELECT count(*) AS n_total, count(*) FILTER (WHERE {b.label} = 1) AS p_total, "
+            f"count(*) FILTER (WHERE {b.label} = 0) AS q_total FROM train)")
 
 
-def mining_ctes(levels: int = 4, min_lift: float | None = None) -> list[str]:
+TOT = tot_cte()
+
+
+def mining_ctes(levels: int = 4, min_lift: float | None = None, b: Binding = EVENTS) -> list[str]:
     """CTEs lvl2 .. lvl<levels> (ranked) over the train rows."""
     sup = S.MIN_SUPPORT
     lift_cond = f" AND lift >= {min_lift!r}" if min_lift is not None else ""
-    ctes = [long_form("train", "rl"), TOT, *domain_ctes("rl")]
+    ctes = [long_form("train", "rl", b), tot_cte(b), *domain_ctes("rl", b)]
     ctes.append(f"""l2raw AS (
   SELECT a.fidx AS g1, b.fidx AS g2, da.vrank AS g3, db.vrank AS g4,
          a.feature AS fa, a.value AS va, b.feature AS fb, b.value AS vb,
@@ -180,11 +229,11 @@ PATTERN_COLS = ("pattern_name, CAST(level AS INTEGER) AS level, CAST(pattern_tot
                 "CAST(pattern_fraud AS BIGINT) AS pattern_fraud, support, confidence, lift, score, level_rank")
 
 
-def test_metrics_ctes(n_top: int) -> list[str]:
+def test_metrics_ctes(n_top: int, b: Binding = EVENTS) -> list[str]:
     """Train top-n patterns re-measured on the test rows (tl) with test totals (ttot)."""
     return [
-        long_form("test", "tl"),
-        ("ttot AS (SELECT count(*) AS n_total, count(*) FILTER (WHERE is_fraud = 1) AS p_total FROM test)"),
+        long_form("test", "tl", b),
+        (f"ttot AS (SELECT count(*) AS n_total, count(*) FILTER (WHERE {b.label} = 1) AS p_total FROM test)"),
         f"top AS (SELECT * FROM allp WHERE rank <= {n_top})",
         "ti AS (SELECT rank, unnest(feats) AS feature, unnest(vals) AS value, len(feats) AS sz FROM top)",
         """tm AS (SELECT ti.rank, x.event_id, max(x.is_fraud) AS is_fraud FROM ti JOIN tl x
@@ -423,5 +472,21 @@ FROM allp""", *mine),
         "chart_total_only": q("SELECT count(*) AS n_patterns FROM allp", *mine),
         "streaming_cells": None,
     })
+    li = mining_ctes(b=ORDER_LINES)
+    li_val = [*li, *test_metrics_ctes(S.VALIDATE_N, ORDER_LINES)]
+    out.update({
+        "li_cells": q(f"""SELECT split, {', '.join(f'CAST({f} AS VARCHAR) AS {f}' for f in S.LINEITEM_FEATURES)},
+  count(*) AS n, count(*) FILTER (WHERE is_returned = 1) AS p, count(*) FILTER (WHERE is_returned = 0) AS q
+FROM lf GROUP BY ALL""", b=ORDER_LINES),
+        "li_patterns_ranked": q(f"SELECT {PATTERN_COLS}, rank, pattern_type FROM allp", *li, b=ORDER_LINES),
+        "li_validate_top10": q("SELECT * FROM stab", *li_val, b=ORDER_LINES),
+        "li_rate_all_features": q(f"""SELECT feature, value, CAST(count(*) FILTER (WHERE is_returned = 0) AS BIGINT) AS "0",
+  CAST(count(*) FILTER (WHERE is_returned = 1) AS BIGINT) AS "1",
+  CAST(count(*) FILTER (WHERE is_returned IN (0, 1)) AS BIGINT) AS total,
+  CAST(count(*) FILTER (WHERE is_returned = 1) AS DOUBLE) / count(*) FILTER (WHERE is_returned IN (0, 1)) * 100
+    AS fraud_rate
+FROM ({' UNION ALL '.join(f"SELECT '{f}' AS feature, CAST({f} AS VARCHAR) AS value, is_returned FROM train"
+                          for f in S.LINEITEM_FEATURES)}) x GROUP BY feature, value""", b=ORDER_LINES),
+    })
     out["streaming_cells"] = out["cells"]
     return out

@@ -307,6 +307,32 @@ def q_chart_total_only(spark, sf):
     return chart_summary(exported)
 
 
+# --- order-line binding (lineitem x orders x customer x part) ----------------------
+
+def li_run(spark: SparkSession, sf_dir: str, **spec_kw) -> MiningRun:
+    from ..sources.transactions import lineitem_transactions
+    from ..spec import lineitem_spec
+    return MiningRun(lineitem_transactions(spark, sf_dir), lineitem_spec(**spec_kw))
+
+
+def q_li_cells(spark, sf):
+    r = li_run(spark, sf)
+    return build_cells(r.rows, r.spec, by=["split"])
+
+
+def q_li_patterns_ranked(spark, sf):
+    return li_run(spark, sf).patterns.select(*PATTERN_OUT, "rank", "pattern_type")
+
+
+def q_li_validate_top10(spark, sf):
+    return li_run(spark, sf).validated.select(*VALIDATION_OUT)
+
+
+def q_li_rate_all_features(spark, sf):
+    r = li_run(spark, sf)
+    return P.rate_by_feature(r.train_cells, S.LINEITEM_FEATURES, round_to=None)
+
+
 def q_summary_lines(spark, sf):
     return R.summary_lines(run(spark, sf).patterns, source="patterns", generated="run")
 
@@ -375,6 +401,10 @@ def all_queries() -> dict[str, Query]:
         "validation_long": q_validation_long,
         "chart_summary_exported": q_chart_summary_exported,
         "chart_total_only": q_chart_total_only,
+        "li_cells": q_li_cells,
+        "li_patterns_ranked": q_li_patterns_ranked,
+        "li_validate_top10": q_li_validate_top10,
+        "li_rate_all_features": q_li_rate_all_features,
         "summary_lines": q_summary_lines,
         "export_roundtrip": q_export_roundtrip,
         "streaming_cells": q_streaming_cells,

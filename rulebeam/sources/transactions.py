@@ -106,3 +106,39 @@ def events_as_transactions(ev: DataFrame) -> DataFrame:
 
 def event_holdout(spark: SparkSession, sf_dir: str) -> Holdout:
     return Holdout.from_split(event_transactions(spark, sf_dir))
+
+
+def lineitem_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as labelled transactions: ``is_returned`` = return flag R,
+    categorical features from the order, customer and part of each line,
+    70/30 train/test split by order key (all lines of an order on one side).
+
+    The joins are declared plainly: each side is pruned to the columns it
+    contributes, and the optimizer (with AQE's runtime sizes) picks broadcast
+    or shuffle per join, so no side is broadcast without a size check.
+    """
+    from .. import spec as S
+    from ..functions.features import bucketize
+
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+        "l_returnflag", "l_linestatus")
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    rows = (li.join(orders, li["l_orderkey"] == orders["o_orderkey"])
+              .join(cust, orders["o_custkey"] == cust["c_custkey"])
+              .join(part, li["l_partkey"] == part["p_partkey"]))
+    return rows.select(
+        "l_orderkey", "l_linenumber",
+        F.when(F.col("l_orderkey") % 10 < 7, "train").otherwise("test").alias("split"),
+        F.col("o_orderpriority").alias("order_priority"),
+        F.col("c_mktsegment").alias("segment"),
+        F.split(F.col("p_type"), " ").getItem(0).alias("part_class"),
+        F.col("l_linestatus").alias("line_status"),
+        F.col("o_orderstatus").alias("order_status"),
+        bucketize(F.col("l_quantity"), S.QUANTITY_EDGES, S.QUANTITY_LABELS).alias("quantity_band"),
+        bucketize(F.col("l_extendedprice"), S.PRICE_EDGES, S.PRICE_LABELS).alias("price_band"),
+        bucketize(F.col("l_discount"), S.DISCOUNT_EDGES, S.DISCOUNT_LABELS).alias("discount_band"),
+        F.when(F.col("l_returnflag") == S.RETURNED_FLAG, 1).otherwise(0).alias("is_returned"),
+    )

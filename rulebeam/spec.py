@@ -136,6 +136,25 @@ class PatternSpec:
         return replace(self, **kw)
 
 
+# Order-line binding (lineitem x orders x customer x part): our own bands.
+LINEITEM_FEATURES = (
+    "order_priority", "segment", "part_class", "line_status",
+    "order_status", "quantity_band", "price_band", "discount_band",
+)
+QUANTITY_EDGES = (10, 25, 40)
+QUANTITY_LABELS = ("small", "medium", "large", "bulk")
+PRICE_EDGES = (25000, 50000, 75000)
+PRICE_LABELS = ("low", "mid", "high", "top")
+DISCOUNT_EDGES = (0.03, 0.07)
+DISCOUNT_LABELS = ("low", "mid", "high")
+RETURNED_FLAG = "R"
+
+
+def lineitem_spec(**kw) -> PatternSpec:
+    """Spec for the order-line view: every feature takes its top-k values."""
+    return PatternSpec(features=LINEITEM_FEATURES, label="is_returned", domains={}, **kw)
+
+
 def event_spec(**kw) -> PatternSpec:
     """Spec for the transaction view over the ``events`` table."""
     return PatternSpec(domains=EVENT_DOMAINS, **kw)
