@@ -63,3 +63,28 @@ class MiningRun:
 
     def shape(self) -> DataFrame:
         return dataset_shape(self.rows, by=[self.split_col])
+
+
+def run_from_files(spark, train_path: str, test_path: str, spec: PatternSpec | None = None,
+                   fmt: str = "csv", schema=None) -> MiningRun:
+    """Entry point 2 from two transaction files: read (S1/S2), stack with a
+    split column (S5), derive features, and return the lazy run."""
+    from ..functions.features import add_features
+    from ..sources.transactions import TRANSACTION_SCHEMA, Holdout, read_transactions
+
+    schema = schema if schema is not None else (TRANSACTION_SCHEMA if fmt == "csv" else None)
+    train = read_transactions(spark, train_path, fmt, schema)
+    test = read_transactions(spark, test_path, fmt, schema)
+    rows = add_features(Holdout(train, test).stacked())
+    return MiningRun(rows, spec if spec is not None else PatternSpec())
+
+
+def export(run: MiningRun, results_dir: str, run_id: str | None = None, fmt: str = "csv") -> str:
+    """K1-K5: write all, top-N, validation and summary tables of a run."""
+    from ..sinks import writers as K
+
+    run_id = run_id or K.new_run_id()
+    K.write_patterns(run.patterns, results_dir, run_id, run.spec.top_n, fmt)
+    K.write_validation(run.validated, results_dir, run_id, fmt)
+    K.write_summary(run.summary(run_id), results_dir, run_id, fmt)
+    return run_id

@@ -31,15 +31,20 @@ def read_transactions(spark: SparkSession, path: str, fmt: str = "csv",
     """Read a transaction file and drop the unnamed index column.
 
     CSV with a header row; pass ``schema`` (recommended: no inference pass,
-    same types for train and test) or ``infer_schema=True``.
+    same types for train and test; columns matched by name, unknown columns
+    kept as text) or ``infer_schema=True``.
     """
     if fmt == "csv":
         reader = spark.read.option("header", "true")
         if schema is not None:
-            reader = reader.schema(schema)
+            # Columns are matched by header name (a CSV schema would be
+            # positional): read text, cast the known columns, keep the rest.
+            df = reader.option("inferSchema", "false").csv(path)
+            typed = {f.name: f.dataType for f in schema.fields}
+            df = df.select(*[F.col(f"`{c}`").cast(typed[c]).alias(c) if c in typed else F.col(f"`{c}`")
+                             for c in df.columns])
         else:
-            reader = reader.option("inferSchema", str(bool(infer_schema)).lower())
-        df = reader.csv(path)
+            df = reader.option("inferSchema", str(bool(infer_schema)).lower()).csv(path)
     else:
         df = spark.read.format(fmt).load(path)
     return df.drop(INDEX_COLUMN) if INDEX_COLUMN in df.columns else df
