@@ -71,9 +71,8 @@ DOUBLE_COLUMNS = ("amt", "lat", "long", "merch_lat", "merch_long", "distance_km"
 
 
 LINEITEM = f"""
-lf AS (
-  SELECT CAST(l.l_orderkey AS VARCHAR) || '/' || CAST(l.l_linenumber AS VARCHAR) || '/'
-      || CAST(l.l_partkey AS VARCHAR) || '/' || CAST(l.l_suppkey AS VARCHAR) AS row_id,
+lf AS MATERIALIZED (
+  SELECT row_number() OVER () AS row_id,
     CASE WHEN l.l_orderkey % 10 < 7 THEN 'train' ELSE 'test' END AS split,
     o.o_orderpriority AS order_priority, c.c_mktsegment AS segment, split_part(p.p_type, ' ', 1) AS part_class,
     l.l_linestatus AS line_status, o.o_orderstatus AS order_status,
