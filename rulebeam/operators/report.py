@@ -74,22 +74,25 @@ def run_summary(train_composition: DataFrame, test_rows: DataFrame, patterns: Da
     ``validated``: stability output. Best pattern = rank 1 by score; metrics
     of an empty pattern table are 0.
     """
-    best = patterns.filter(F.col("rank") == 1)
-    scal = {
-        "Total_Test_Transactions": test_rows.select(F.col("n_rows").cast("double")).scalar(),
-        "Total_Patterns_Discovered": patterns.select(F.count(F.lit(1)).cast("double")).scalar(),
-        "Patterns_Validated": validated.select(F.count_if(F.col("valid")).cast("double")).scalar(),
-        "Stable_Patterns": validated.select(F.count_if(F.col("stable")).cast("double")).scalar(),
-        "Best_Pattern_Confidence_Percent": best.select(F.max(F.col("confidence") * 100)).scalar(),
-        "Best_Pattern_Lift": best.select(F.max("lift")).scalar(),
-    }
+    # Two scalar subqueries (one over the patterns, one over the validation)
+    # carry all six values.
+    pat = patterns.select(F.struct(
+        F.count(F.lit(1)).cast("double").alias("n"),
+        F.max(F.when(F.col("rank") == 1, F.col("confidence") * 100)).alias("best_conf"),
+        F.max(F.when(F.col("rank") == 1, F.col("lift"))).alias("best_lift"))).scalar()
+    val = validated.select(F.struct(
+        F.count_if(F.col("valid")).cast("double").alias("valid"),
+        F.count_if(F.col("stable")).cast("double").alias("stable"))).scalar()
+    test_n = test_rows.select(F.col("n_rows").cast("double")).scalar()
     row = train_composition.select(
         F.col("n_labelled").cast("double").alias("Total_Training_Transactions"),
-        scal["Total_Test_Transactions"].alias("Total_Test_Transactions"),
+        test_n.alias("Total_Test_Transactions"),
         F.col("fraud_rate_pct").alias("Training_Fraud_Rate_Percent"),
-        *[F.coalesce(scal[k], F.lit(0.0)).alias(k) for k in
-          ("Total_Patterns_Discovered", "Patterns_Validated", "Stable_Patterns",
-           "Best_Pattern_Confidence_Percent", "Best_Pattern_Lift")])
+        F.coalesce(pat["n"], F.lit(0.0)).alias("Total_Patterns_Discovered"),
+        F.coalesce(val["valid"], F.lit(0.0)).alias("Patterns_Validated"),
+        F.coalesce(val["stable"], F.lit(0.0)).alias("Stable_Patterns"),
+        F.coalesce(pat["best_conf"], F.lit(0.0)).alias("Best_Pattern_Confidence_Percent"),
+        F.coalesce(pat["best_lift"], F.lit(0.0)).alias("Best_Pattern_Lift"))
     names = row.columns
     long = row.select(F.inline(F.array(*[
         F.struct(F.lit(i + 1).alias("metric_no"), F.lit(m).alias("metric"), F.col(m).alias("value"),

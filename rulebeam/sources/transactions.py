@@ -66,8 +66,19 @@ class Holdout:
         return Holdout(df.filter(F.col(split_col) == "train"), df.filter(F.col(split_col) == "test"))
 
 
+_SCHEMAS: dict[tuple[int, str], T.StructType] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read one Parquet table; its schema is inferred once per session and
+    path (inference is a Spark job of its own) and reused afterwards."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _SCHEMAS:
+        df = spark.read.parquet(path)
+        _SCHEMAS[key] = df.schema
+        return df
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
 def event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
