@@ -16,13 +16,14 @@ SKIP = {"export_roundtrip", "streaming_cells"}  # their returned frames only rea
 
 
 def plan_text(df) -> str:
-    """The final (post-AQE) physical plan, subqueries included."""
+    """Physical plan text after execution: AQE final and initial plans of the
+    query and of every subquery."""
     df.collect()
-    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_cells_single_shuffle_and_pruned_scan(spark):
-    plan = plan_text(build_cells(txn(spark, SF001), event_spec(), by=["split"]))
+    plan = plan_text(build_cells(txn(spark, SF001), event_spec(), by=["split"])).split("== Initial Plan ==")[0]
     assert plan.count("Exchange hashpartitioning") == 1
     # the whole map side (scan, features, partial aggregate) is one codegen stage
     assert plan.count("*(1)") >= 4
