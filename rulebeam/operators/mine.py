@@ -31,8 +31,6 @@ from .cells import total_columns
 from .domain import all_domains, item_domain
 
 GEN_KEYS = ("g1", "g2", "g3", "g4")
-PATTERN_COLUMNS = ("pattern_name", "items", "level", "pattern_total", "pattern_fraud",
-                   "support", "confidence", "lift", "score", "level_rank")
 
 
 def apply_thresholds(df: DataFrame, spec: PatternSpec, level: int) -> DataFrame:

@@ -178,3 +178,19 @@ def test_pair_counts_cover_all_rows(spark):
     n = cells.agg(F.sum("n")).first()[0]
     per_pair = pair_counts(cells, spec).groupBy("fa", "fb").agg(F.sum("pattern_total").alias("s"))
     assert {r.s for r in per_pair.collect()} == {n}
+
+
+def test_golden_sf01(spark):
+    """FIXTURES §6, sf0.1 column."""
+    r = run(spark, "/root/testdata/sf0.1")
+    p = r.patterns
+    assert dict(p.groupBy("level").count().collect()) == {2: 184, 3: 215, 4: 163}
+    top = p.filter("rank = 1").first()
+    assert top.pattern_name == "time_period=night AND amt_category=high"
+    assert (top.pattern_total, top.pattern_fraud) == (2947, 2001)
+    assert abs(top.score - 0.527229) < 5e-7
+    v = {x.rank: x for x in r.validated.collect()}
+    assert sum(x.stable for x in v.values()) == 6
+    assert (v[1].test_pattern_total, v[1].test_pattern_fraud, v[1].status) == (1340, 901, "UNSTABLE")
+    assert v[2].pattern_name == "time_period=night AND amt_category=high AND is_weekend=0"
+    assert (v[2].train_pattern_total, v[2].train_pattern_fraud, v[2].status) == (2148, 1459, "STABLE")
