@@ -135,3 +135,30 @@ def test_compare_and_composition(spark):
     c = {r.dataset: r for r in P.compare_datasets(txn(spark, SF01)).collect()}
     assert c["train"].n_rows == 7000 and c["train"].n_fraud == 250
     assert abs(c["train"].rate_diff_abs - abs(c["train"].fraud_rate_pct - c["test"].fraud_rate_pct)) < 1e-12
+
+
+def test_cells_equal_typed_filter_counts(spark, run01):
+    """Cross-plan: test-split counts from cells = typed filter (P16) on rows."""
+    from rulebeam.functions.items import items_to_predicate
+    rows = run01.rows.filter(F.col("split") == "test")
+    for r in run01.validated.collect():
+        cond = items_to_predicate([(i.feature, i.value) for i in r["items"]], rows.schema)
+        agg = rows.filter(cond).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("is_fraud") == 1).alias("p")).first()
+        assert (agg.n, agg.p) == (r.test_pattern_total, r.test_pattern_fraud)
+
+
+def test_permuted_itemsets_have_equal_metrics(run01):
+    from rulebeam.functions.items import itemset_key
+    p = run01.patterns.withColumn("k", itemset_key(F.col("items")))
+    g = p.groupBy("k").agg(F.countDistinct("score").alias("s"), F.countDistinct("pattern_total").alias("t"))
+    assert g.filter("s > 1 OR t > 1").count() == 0
+
+
+def test_empty_input_gives_empty_tables(spark):
+    from rulebeam.plans.mining import MiningRun
+    rows = txn(spark, SF001).limit(0)
+    r = MiningRun(rows, event_spec())
+    assert r.patterns.count() == 0 and r.validated.count() == 0
+    kpis = {x.metric: x.value for x in r.summary().collect()}
+    assert kpis["Total_Patterns_Discovered"] == 0.0 and kpis["Best_Pattern_Lift"] == 0.0
+    assert kpis["Patterns_Validated"] == 0.0
