@@ -40,7 +40,7 @@ def pattern_label(items: Column) -> Column:
 
 def pattern_type(items: Column) -> Column:
     """``<k>-Feature``."""
-    return F.concat(F.size(items).cast("string"), F.lit("-Feature"))
+    return F.concat(F.size(items).cast("string"), F.lit(S.PATTERN_TYPE_SUFFIX))
 
 
 def itemset_key(items: Column) -> Column:
@@ -64,7 +64,7 @@ def parse_pattern_label(label: Column) -> Column:
     return F.struct(
         F.when(ok, items).alias("items"),
         ok.alias("ok"),
-        F.when(~ok, F.concat(F.lit("Invalid pattern part: "), F.element_at(bad, 1))).alias("reason"))
+        F.when(~ok, F.concat(F.lit(S.REASON_BAD_PART), F.element_at(bad, 1))).alias("reason"))
 
 
 def readable_label(label: Column, width: int = S.READABLE_WIDTH, keep: int = S.READABLE_KEEP) -> Column:

@@ -22,7 +22,7 @@ def pattern_counts(patterns: DataFrame) -> DataFrame:
     """Patterns per level plus a total row (level null, type Total)."""
     g = patterns.rollup("level").agg(F.count(F.lit(1)).alias("n_patterns"))
     return g.withColumn("pattern_type", F.when(F.col("level").isNull(), F.lit("Total"))
-                        .otherwise(F.concat(F.col("level").cast("string"), F.lit("-Feature"))))
+                        .otherwise(F.concat(F.col("level").cast("string"), F.lit(S.PATTERN_TYPE_SUFFIX))))
 
 
 def pattern_type_counts(patterns: DataFrame) -> DataFrame:
@@ -84,15 +84,16 @@ def run_summary(train_composition: DataFrame, test_rows: DataFrame, patterns: Da
         F.count_if(F.col("valid")).cast("double").alias("valid"),
         F.count_if(F.col("stable")).cast("double").alias("stable"))).scalar()
     test_n = test_rows.select(F.col("n_rows").cast("double")).scalar()
+    m = S.SUMMARY_METRICS
     row = train_composition.select(
-        F.col("n_labelled").cast("double").alias("Total_Training_Transactions"),
-        test_n.alias("Total_Test_Transactions"),
-        F.col("fraud_rate_pct").alias("Training_Fraud_Rate_Percent"),
-        F.coalesce(pat["n"], F.lit(0.0)).alias("Total_Patterns_Discovered"),
-        F.coalesce(val["valid"], F.lit(0.0)).alias("Patterns_Validated"),
-        F.coalesce(val["stable"], F.lit(0.0)).alias("Stable_Patterns"),
-        F.coalesce(pat["best_conf"], F.lit(0.0)).alias("Best_Pattern_Confidence_Percent"),
-        F.coalesce(pat["best_lift"], F.lit(0.0)).alias("Best_Pattern_Lift"))
+        F.col("n_labelled").cast("double").alias(m[0]),
+        test_n.alias(m[1]),
+        F.col("fraud_rate_pct").alias(m[2]),
+        F.coalesce(pat["n"], F.lit(0.0)).alias(m[3]),
+        F.coalesce(val["valid"], F.lit(0.0)).alias(m[4]),
+        F.coalesce(val["stable"], F.lit(0.0)).alias(m[5]),
+        F.coalesce(pat["best_conf"], F.lit(0.0)).alias(m[6]),
+        F.coalesce(pat["best_lift"], F.lit(0.0)).alias(m[7]))
     names = row.columns
     long = row.select(F.inline(F.array(*[
         F.struct(F.lit(i + 1).alias("metric_no"), F.lit(m).alias("metric"), F.col(m).alias("value"),
@@ -100,7 +101,7 @@ def run_summary(train_composition: DataFrame, test_rows: DataFrame, patterns: Da
         for i, m in enumerate(names)])))
     if run_id is not None:
         stamp = long.sparkSession.range(1).select(
-            F.lit(len(names) + 1).alias("metric_no"), F.lit("Analysis_Timestamp").alias("metric"),
+            F.lit(len(names) + 1).alias("metric_no"), F.lit(S.SUMMARY_METRICS[8]).alias("metric"),
             F.lit(None).cast("double").alias("value"), F.lit(run_id).alias("text"))
         long = long.unionByName(stamp)
     return long
@@ -169,21 +170,22 @@ def summary_lines(patterns: DataFrame, source: str, generated: str, top: int = S
     spark = patterns.sparkSession
     n = patterns.select(F.count(F.lit(1))).scalar()
     head = spark.range(1).select(F.inline(F.array(
-        F.struct(F.lit(1).alias("line_no"), F.lit("FRAUD PATTERN ANALYSIS SUMMARY").alias("line")),
-        F.struct(F.lit(2).alias("line_no"), F.lit(f"Generated: {generated}").alias("line")),
+        F.struct(F.lit(1).alias("line_no"), F.lit(S.SUMMARY_HEADER).alias("line")),
+        F.struct(F.lit(2).alias("line_no"), F.lit(S.SUMMARY_GENERATED.format(generated)).alias("line")),
         F.struct(F.lit(3).alias("line_no"), F.lit("").alias("line")),
-        F.struct(F.lit(4).alias("line_no"), F.lit("DATASET INFORMATION:").alias("line")),
-        F.struct(F.lit(5).alias("line_no"), F.concat(F.lit("- Total patterns analyzed: "), n.cast("string")).alias("line")),
-        F.struct(F.lit(6).alias("line_no"), F.lit(f"- Data source: {source}").alias("line")),
+        F.struct(F.lit(4).alias("line_no"), F.lit(S.SUMMARY_DATASET).alias("line")),
+        F.struct(F.lit(5).alias("line_no"), F.concat(F.lit(S.SUMMARY_COUNT), n.cast("string")).alias("line")),
+        F.struct(F.lit(6).alias("line_no"), F.lit(S.SUMMARY_SOURCE.format(source)).alias("line")),
         F.struct(F.lit(7).alias("line_no"), F.lit("").alias("line")),
-        F.struct(F.lit(8).alias("line_no"), F.lit("TOP 5 PATTERNS:").alias("line")),
+        F.struct(F.lit(8).alias("line_no"), F.lit(S.SUMMARY_TOP_TITLE).alias("line")),
     )))
     mx = F.max("confidence").over(Window.partitionBy())
     top_rows = patterns.filter(F.col("rank") <= top).withColumn("_pct", as_percent(F.col("confidence"), mx))
     body = top_rows.select(F.inline(F.array(
         F.struct((F.lit(10) + F.col("rank") * 3).alias("line_no"),
-                 F.format_string("%d. %s...", F.col("rank"), truncate(F.col("pattern_name"), width)).alias("line")),
+                 F.format_string(S.SUMMARY_PATTERN_LINE, F.col("rank"),
+                                 truncate(F.col("pattern_name"), width)).alias("line")),
         F.struct((F.lit(11) + F.col("rank") * 3).alias("line_no"),
-                 F.format_string("   Fraud Rate: %.1f%%", F.col("_pct")).alias("line")),
+                 F.format_string(S.SUMMARY_RATE_LINE, F.col("_pct")).alias("line")),
         F.struct((F.lit(12) + F.col("rank") * 3).alias("line_no"), F.lit("").alias("line")))))
     return head.unionByName(body)

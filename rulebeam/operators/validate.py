@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 
 from ..functions.items import parse_pattern_label
 from ..functions.metrics import rule_metrics
+from .. import spec as S
 from ..spec import PatternSpec
 from .cells import total_columns
 from .mine import contains_all, match_first_item, match_patterns
 
-NO_MATCH = "No matching transactions"
+NO_MATCH = S.REASON_NO_MATCH
 
 
 def pattern_metrics(cells: DataFrame, patterns: DataFrame, spec: PatternSpec, key: str = "rank",
@@ -64,7 +65,8 @@ def stability(validated: DataFrame, spec: PatternSpec) -> DataFrame:
               & (F.col("lift_diff") < tl))
     return validated.withColumns({
         "stable": F.coalesce(stable, F.lit(False)),
-        "status": F.when(~F.col("valid"), "FAILED").when(stable, "STABLE").otherwise("UNSTABLE"),
+        "status": F.when(~F.col("valid"), S.STATUS_FAILED).when(stable, S.STATUS_STABLE)
+                   .otherwise(S.STATUS_UNSTABLE),
     })
 
 

@@ -12,26 +12,23 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-EXPORT_COLUMNS = ("Rank", "Pattern_Type", "Pattern_Name", "Support", "Confidence", "Lift", "Score",
-                  "Pattern_Total_Transactions", "Pattern_Fraud_Transactions", "Fraud_Rate_Percent")
-VALIDATION_COLUMNS = ("Pattern_ID", "Pattern_Name", "Train_Confidence", "Test_Confidence", "Train_Lift",
-                      "Test_Lift", "Confidence_Diff", "Lift_Diff", "Status", "Valid")
+from .. import spec as S
+
+EXPORT_COLUMNS = S.PATTERN_EXPORT_COLUMNS
+VALIDATION_COLUMNS = S.VALIDATION_EXPORT_COLUMNS
 
 
 def new_run_id() -> str:
     """K5: ``YYYYmmdd_HHMMSS`` (UTC)."""
-    return datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S")
+    return datetime.now(timezone.utc).strftime(S.RUN_STAMP_FORMAT)
 
 
 def to_export_shape(patterns: DataFrame) -> DataFrame:
     """The 10 published pattern columns, by rank."""
-    return patterns.select(
-        F.col("rank").alias("Rank"), F.col("pattern_type").alias("Pattern_Type"),
-        F.col("pattern_name").alias("Pattern_Name"), F.col("support").alias("Support"),
-        F.col("confidence").alias("Confidence"), F.col("lift").alias("Lift"), F.col("score").alias("Score"),
-        F.col("pattern_total").alias("Pattern_Total_Transactions"),
-        F.col("pattern_fraud").alias("Pattern_Fraud_Transactions"),
-        (F.col("confidence") * 100).alias("Fraud_Rate_Percent"))
+    sources = [F.col("rank"), F.col("pattern_type"), F.col("pattern_name"), F.col("support"),
+               F.col("confidence"), F.col("lift"), F.col("score"), F.col("pattern_total"),
+               F.col("pattern_fraud"), F.col("confidence") * 100]
+    return patterns.select(*[c.alias(n) for c, n in zip(sources, EXPORT_COLUMNS)])
 
 
 def to_validation_shape(stable: DataFrame, key: str = "rank", text: bool = False) -> DataFrame:
@@ -41,14 +38,12 @@ def to_validation_shape(stable: DataFrame, key: str = "rank", text: bool = False
 
     def metric(c):
         v = F.when(valid, F.col(c))
-        return F.coalesce(v.cast("string"), F.lit("N/A")) if text else v
+        return F.coalesce(v.cast("string"), F.lit(S.NOT_AVAILABLE)) if text else v
 
-    return stable.select(
-        F.col(key).alias("Pattern_ID"), F.col("pattern_name").alias("Pattern_Name"),
-        metric("train_confidence").alias("Train_Confidence"), metric("test_confidence").alias("Test_Confidence"),
-        metric("train_lift").alias("Train_Lift"), metric("test_lift").alias("Test_Lift"),
-        metric("confidence_diff").alias("Confidence_Diff"), metric("lift_diff").alias("Lift_Diff"),
-        F.col("status").alias("Status"), F.when(valid, "Yes").otherwise("No").alias("Valid"))
+    sources = [F.col(key), F.col("pattern_name"), metric("train_confidence"), metric("test_confidence"),
+               metric("train_lift"), metric("test_lift"), metric("confidence_diff"), metric("lift_diff"),
+               F.col("status"), F.when(valid, S.VALID_YES).otherwise(S.VALID_NO)]
+    return stable.select(*[c.alias(n) for c, n in zip(sources, VALIDATION_COLUMNS)])
 
 
 def to_summary_shape(summary: DataFrame) -> DataFrame:
@@ -70,16 +65,17 @@ def write_result(df: DataFrame, base: str, kind: str, run_id: str, fmt: str = "c
 
 def write_patterns(patterns: DataFrame, base: str, run_id: str, top: int, fmt: str = "csv") -> dict[str, str]:
     """K1 + K2: all patterns and the top ``top``."""
-    shaped = to_export_shape(patterns).orderBy("Rank")
+    rank = EXPORT_COLUMNS[0]
+    shaped = to_export_shape(patterns).orderBy(rank)
     return {
         "all": write_result(shaped, base, "all", run_id, fmt),
-        "top": write_result(shaped.filter(F.col("Rank") <= top), base, "top", run_id, fmt),
+        "top": write_result(shaped.filter(F.col(rank) <= top), base, "top", run_id, fmt),
     }
 
 
 def write_validation(stable: DataFrame, base: str, run_id: str, fmt: str = "csv") -> str:
     """K3."""
-    return write_result(to_validation_shape(stable, text=(fmt == "csv")).orderBy("Pattern_ID"),
+    return write_result(to_validation_shape(stable, text=(fmt == "csv")).orderBy(VALIDATION_COLUMNS[0]),
                         base, "validation", run_id, fmt)
 
 

@@ -8,23 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PATTERN_EXPORT_SCHEMA = T.StructType([
-    T.StructField("Rank", T.IntegerType()),
-    T.StructField("Pattern_Type", T.StringType()),
-    T.StructField("Pattern_Name", T.StringType()),
-    T.StructField("Support", T.DoubleType()),
-    T.StructField("Confidence", T.DoubleType()),
-    T.StructField("Lift", T.DoubleType()),
-    T.StructField("Score", T.DoubleType()),
-    T.StructField("Pattern_Total_Transactions", T.LongType()),
-    T.StructField("Pattern_Fraud_Transactions", T.LongType()),
-    T.StructField("Fraud_Rate_Percent", T.DoubleType()),
-    T.StructField("kind", T.StringType()),
-    T.StructField("run_id", T.StringType()),
-])
-
-EXPECTED_PATTERN_COLUMNS = ("Pattern_Name", "Confidence", "Test_Confidence", "Train_Confidence",
-                            "Fraud_Rate_Percent")
+from .. import spec as S
+
+_EXPORT_TYPES = (T.IntegerType(), T.StringType(), T.StringType(), T.DoubleType(), T.DoubleType(), T.DoubleType(),
+                 T.DoubleType(), T.LongType(), T.LongType(), T.DoubleType())
+PATTERN_EXPORT_SCHEMA = T.StructType(
+    [T.StructField(n, t) for n, t in zip(S.PATTERN_EXPORT_COLUMNS, _EXPORT_TYPES)]
+    + [T.StructField("kind", T.StringType()), T.StructField("run_id", T.StringType())])
+
+EXPECTED_PATTERN_COLUMNS = S.PATTERN_TABLE_MARKERS
 
 
 def check_columns(df: DataFrame, any_of: Iterable[str] = EXPECTED_PATTERN_COLUMNS) -> bool:

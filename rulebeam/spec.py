@@ -93,6 +93,32 @@ SUMMARY_TOP = 5
 # README promise, off unless asked for.
 DOCUMENTED_MIN_LIFT = 5.0
 
+# Output formats: result-table columns, summary metrics, status and reason
+# texts, the run stamp and the text summary.
+PATTERN_TYPE_SUFFIX = "-Feature"
+PATTERN_EXPORT_COLUMNS = ("Rank", "Pattern_Type", "Pattern_Name", "Support", "Confidence", "Lift", "Score",
+                          "Pattern_Total_Transactions", "Pattern_Fraud_Transactions", "Fraud_Rate_Percent")
+VALIDATION_EXPORT_COLUMNS = ("Pattern_ID", "Pattern_Name", "Train_Confidence", "Test_Confidence", "Train_Lift",
+                             "Test_Lift", "Confidence_Diff", "Lift_Diff", "Status", "Valid")
+# A reloaded table is pattern data when it has any of these columns.
+PATTERN_TABLE_MARKERS = ("Pattern_Name", "Confidence", "Test_Confidence", "Train_Confidence", "Fraud_Rate_Percent")
+SUMMARY_METRICS = ("Total_Training_Transactions", "Total_Test_Transactions", "Training_Fraud_Rate_Percent",
+                   "Total_Patterns_Discovered", "Patterns_Validated", "Stable_Patterns",
+                   "Best_Pattern_Confidence_Percent", "Best_Pattern_Lift", "Analysis_Timestamp")
+STATUS_STABLE, STATUS_UNSTABLE, STATUS_FAILED = "STABLE", "UNSTABLE", "FAILED"
+VALID_YES, VALID_NO, NOT_AVAILABLE = "Yes", "No", "N/A"
+REASON_NO_MATCH = "No matching transactions"
+REASON_BAD_PART = "Invalid pattern part: "
+RUN_STAMP_FORMAT = "%Y%m%d_%H%M%S"
+SUMMARY_HEADER = "FRAUD PATTERN ANALYSIS SUMMARY"
+SUMMARY_GENERATED = "Generated: {}"
+SUMMARY_DATASET = "DATASET INFORMATION:"
+SUMMARY_COUNT = "- Total patterns analyzed: "
+SUMMARY_SOURCE = "- Data source: {}"
+SUMMARY_TOP_TITLE = "TOP 5 PATTERNS:"
+SUMMARY_PATTERN_LINE = "%d. %s..."
+SUMMARY_RATE_LINE = "   Fraud Rate: %.1f%%"
+
 
 @dataclass(frozen=True)
 class PatternSpec:
