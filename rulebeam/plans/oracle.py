@@ -34,8 +34,13 @@ txn AS (
          WHEN event_id % 200 = 0 THEN 1 ELSE 0 END AS INTEGER) AS is_fraud
   FROM events
 ),
+cos0 AS (
+  SELECT *, sin(radians(lat)) * sin(radians(merch_lat))
+      + cos(radians(lat)) * cos(radians(merch_lat)) * cos(radians(long) - radians(merch_long)) AS cosang
+  FROM txn
+),
 feat0 AS (
-  SELECT *,
+  SELECT * EXCLUDE (cosang),
     CAST(hour(trans_date_trans_time) AS INTEGER) AS hour,
     CAST(dayofweek(trans_date_trans_time) + 1 AS INTEGER) AS day_of_week,
     CAST(month(trans_date_trans_time) AS INTEGER) AS month,
@@ -46,11 +51,9 @@ feat0 AS (
     CASE WHEN amt < 10 THEN 'very_low' WHEN amt < 50 THEN 'low' WHEN amt < 200 THEN 'medium'
          WHEN amt < 500 THEN 'high' ELSE 'very_high' END AS amt_category,
     CAST(floor(date_diff('day', dob, CAST(trans_date_trans_time AS DATE)) / 365.0) AS BIGINT) AS age,
-    acos(least(CAST(1 AS DOUBLE), greatest(CAST(-1 AS DOUBLE),
-      sin(radians(lat)) * sin(radians(merch_lat))
-      + cos(radians(lat)) * cos(radians(merch_lat)) * cos(radians(long) - radians(merch_long))))) * 6371
-      AS distance_km
-  FROM txn
+    acos(CASE WHEN cosang > 1 THEN CAST(1 AS DOUBLE) WHEN cosang < -1 THEN CAST(-1 AS DOUBLE)
+              ELSE cosang END) * 6371 AS distance_km
+  FROM cos0
 ),
 feat AS (
   SELECT *,

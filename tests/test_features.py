@@ -65,7 +65,8 @@ def test_distance_edges(spark, km, cat):
 
 
 def test_identical_points_clamp(spark):
-    # Points where the cosine rounds above 1: NaN without the clamp, 0 with it.
+    # Points where the cosine rounds above 1: NaN without the clamp, 0 with it;
+    # null coordinates stay null (no antipodal distance from the clamp).
     df = spark.createDataFrame([(37.7749, -122.4194)] * 3 + [(40.1, -73.9)], "a double, b double")
     clamped = df.select(great_circle_km("a", "b", "a", "b").alias("d")).collect()
     assert all(r.d == 0.0 or r.d < 1e-3 for r in clamped)
@@ -83,3 +84,17 @@ def test_unknown_columns_pass_through(spark):
     df = spark.createDataFrame(rows, SCHEMA).withColumn("extra", F.lit("x"))
     out = add_features(df)
     assert "extra" in out.columns and out.first().extra == "x"
+
+
+def test_null_bucket_option(spark):
+    rows = [(None, None, None, None, None, None, None)]
+    out = add_features(spark.createDataFrame(rows, SCHEMA), FeatureConfig(null_bucket="unknown")).first()
+    assert (out.time_period, out.amt_category, out.age_group, out.distance_category) == ("unknown",) * 4
+    default = add_features(spark.createDataFrame(rows, SCHEMA)).first()
+    assert (default.time_period, default.amt_category, default.age_group, default.distance_category) == \
+        ("night", "very_high", "senior", "very_far")
+
+
+def test_null_coordinates_give_null_distance(spark):
+    df = spark.createDataFrame([(None, 1.0, 2.0, 3.0)], "a double, b double, c double, d double")
+    assert df.select(great_circle_km(F.col("a"), F.col("b"), F.col("c"), F.col("d"))).first()[0] is None
