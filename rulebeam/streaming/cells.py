@@ -20,9 +20,11 @@ from ..spec import PatternSpec
 
 
 def stream_cells(spark: SparkSession, events_dir: str, spec: PatternSpec, out_path: str,
-                 checkpoint_location: str, file_glob: str = "events*.parquet", available_now: bool = True):
-    """Start the streaming cell build; returns the StreamingQuery."""
-    schema = read_table(spark, events_dir, "events").schema
+                 checkpoint_location: str, file_glob: str = "events*.parquet", available_now: bool = True,
+                 schema=None):
+    """Start the streaming cell build; returns the StreamingQuery. ``schema``
+    defaults to that of ``events.parquet`` in ``events_dir``."""
+    schema = schema if schema is not None else read_table(spark, events_dir, "events").schema
     events = (spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
               .option("maxFilesPerTrigger", 64).parquet(events_dir))
     cells = build_cells(add_features(events_as_transactions(events)), spec, by=["split"])
