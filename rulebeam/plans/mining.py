@@ -33,7 +33,9 @@ class MiningRun:
 
     @cached_property
     def cells(self) -> DataFrame:
-        return materialize(build_cells(self.rows, self.spec, by=[self.split_col]), "cells")
+        # One folder per split: the train and test reads each scan only their half.
+        return materialize(build_cells(self.rows, self.spec, by=[self.split_col]), "cells",
+                           partition_by=(self.split_col,))
 
     @cached_property
     def train_cells(self) -> DataFrame:

@@ -47,16 +47,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+def materialize(df: DataFrame, name: str = "table", partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Cut lineage by writing ``df`` as Parquet under the shared checkpoint
     folder and reading it back: one job, one pass over the input, and a lost
     executor re-reads the files instead of re-running the upstream scan.
-    Readers also get file statistics for join planning."""
+    Readers also get file statistics for join planning. ``partition_by``
+    writes one folder per value, so a filter on that column reads only its
+    folder."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
     # The schema is known: reading with it skips the footer-inference job.
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
