@@ -194,3 +194,30 @@ def test_golden_sf01(spark):
     assert (v[1].test_pattern_total, v[1].test_pattern_fraud, v[1].status) == (1340, 901, "UNSTABLE")
     assert v[2].pattern_name == "time_period=night AND amt_category=high AND is_weekend=0"
     assert (v[2].train_pattern_total, v[2].train_pattern_fraud, v[2].status) == (2148, 1459, "STABLE")
+
+
+def test_pairs_agree_with_fpgrowth(spark):
+    """Spark ML FPGrowth on feature=value baskets (plus the label item) gives
+    the same confidence and lift for rules {a, b} => label as the pair counts."""
+    from pyspark.ml.fpm import FPGrowth
+    spec = event_spec()
+    rows = txn(spark, SF001).filter("split = 'train'")
+    baskets = rows.select(F.array_compact(F.array(
+        *[F.concat(F.lit(f + "="), F.col(f).cast("string")) for f in spec.features],
+        F.when(F.col("is_fraud") == 1, F.lit("LABEL")))).alias("items"))
+    n_rows = baskets.count()
+    model = FPGrowth(itemsCol="items", minSupport=1.0 / n_rows, minConfidence=0.0).fit(baskets)
+    rules = (model.associationRules.filter((F.size("antecedent") == 2) & (F.col("consequent")[0] == "LABEL"))
+             .select(F.array_sort("antecedent").alias("k"), "confidence", "lift"))
+    got = {tuple(r.k): (r.confidence, r.lift) for r in rules.collect()}
+
+    cells = split_cells(build_cells(txn(spark, SF001), spec, by=["split"]), "train")
+    from rulebeam.functions.metrics import with_rule_metrics
+    from rulebeam.operators.cells import total_columns
+    n_total, p_total = total_columns(cells)
+    pairs = with_rule_metrics(pair_counts(cells, spec), "pattern_total", "pattern_fraud", n_total, p_total)
+    ours = {tuple(sorted([f"{r.fa}={r.va}", f"{r.fb}={r.vb}"])): (r.confidence, r.lift)
+            for r in pairs.filter("pattern_fraud > 0").collect()}
+    assert set(got) == set(ours)
+    for k, (c, l) in ours.items():
+        assert abs(got[k][0] - c) < 1e-12 and abs(got[k][1] - l) < 1e-9
