@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from typing import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,14 +29,24 @@ def read_latest_patterns(spark: SparkSession, base: str, prefer: str = "top", fa
                          fmt: str = "csv") -> DataFrame:
     """The pattern table of the newest run, preferring the ``prefer``
     kind (top-N) over ``fallback`` (all). Summary tables never qualify.
-    "Newest" is the largest ``run_id`` partition value."""
+
+    "Newest" is the largest ``run_id`` partition value. The choice is made
+    from the file listing alone (no data is read to find it); only the chosen
+    folder is then read.
+    """
+    base = base.rstrip("/")
     reader = spark.read.option("basePath", base)
     if fmt == "csv":
-        df = reader.option("header", "true").schema(PATTERN_EXPORT_SCHEMA).csv(
-            [f"{base.rstrip('/')}/kind={k}" for k in (prefer, fallback)])
+        reader = reader.option("header", "true").schema(PATTERN_EXPORT_SCHEMA)
+        load = reader.csv
     else:
-        df = reader.format(fmt).load([f"{base.rstrip('/')}/kind={k}" for k in (prefer, fallback)])
-    pref = F.when(F.col("kind") == prefer, 0).otherwise(1)
-    runs = df.select("kind", "run_id").distinct()
-    pick = runs.orderBy(pref, F.desc("run_id")).limit(1)
-    return df.join(F.broadcast(pick), ["kind", "run_id"], "left_semi")
+        load = reader.format(fmt).load
+    listed = load(f"{base}/kind=*/run_id=*").inputFiles()  # a glob: only folders that exist
+    found = (re.search(r"/kind=([^/]+)/run_id=([^/]+)/", f) for f in listed)
+    runs = {(m.group(1), m.group(2)) for m in found if m and m.group(1) in (prefer, fallback)}
+    if not runs:
+        raise FileNotFoundError(f"no pattern tables under {base}")
+    kinds = {k for k, _ in runs}
+    kind = prefer if prefer in kinds else fallback
+    run_id = max(r for k, r in runs if k == kind)
+    return load(f"{base}/kind={kind}/run_id={run_id}")

@@ -194,3 +194,14 @@ def test_streaming_cells_incremental_restart(spark, tmp_path):
     b = build_cells(txn(spark, SF001), spec, by=["split"])
     assert first < b.agg(F.sum("n")).first()[0]
     assert sorted(map(tuple, s.select(*b.columns).collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_read_latest_falls_back_to_all(spark, run01, tmp_path):
+    from rulebeam.sinks import writers as K
+    from rulebeam.sources.results import read_latest_patterns
+    base = str(tmp_path / "r")
+    K.write_result(K.to_export_shape(run01.patterns), base, "all", "20240101_000000")
+    K.write_summary(run01.summary("20240102_000000"), base, "20240102_000000")
+    back = read_latest_patterns(spark, base)
+    assert back.count() == run01.patterns.count()
+    assert {r.kind for r in back.select("kind").distinct().collect()} == {"all"}
