@@ -1,7 +1,8 @@
 """Named queries over the benchmark tables (``queries()`` of the entry file).
 
-Every query reads ``events`` through the transaction view, so its work grows
-with the table. Mining queries build the cell table of both splits in one
+Every query reads whole driver tables through a transaction view (``events``;
+``li_*``: lineitem joined to orders, customer and part), so its work grows
+with the tables. Mining queries build the cell table of both splits in one
 scan and write it once to the shared checkpoint folder.
 """
 

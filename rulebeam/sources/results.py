@@ -6,7 +6,6 @@ import re
 from typing import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import spec as S
