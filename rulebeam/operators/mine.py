@@ -162,25 +162,28 @@ def rank_all(patterns: DataFrame) -> DataFrame:
     return patterns.withColumn("rank", F.row_number().over(w))
 
 
-def mine(cells: DataFrame, spec: PatternSpec) -> DataFrame:
+def mine(cells: DataFrame, spec: PatternSpec, workdir: str | None = None) -> DataFrame:
     """M4: levels 2..max_len, merged and ranked.
 
-    ``cells`` is the training cell table without split columns.
+    ``cells`` is the training cell table without split columns; the domains
+    and finished levels are written under ``workdir`` (default: a new folder
+    in the checkpoint folder).
     Returns pattern_name, items, level, pattern_total, pattern_fraud,
     support, confidence, lift, score, level_rank, rank, pattern_type.
     """
     n_total, p_total = total_columns(cells)
-    domains = materialize(all_domains(cells, spec), "domains")
+    domains = materialize(all_domains(cells, spec), "domains", base=workdir)
 
     def domain(k):
         return domains.filter(F.col("level") == spec.domain_level(k)).drop("level")
 
-    level = materialize(rank_level(mine_pairs(cells, spec, n_total, p_total, domain(2)), spec), "level2")
+    level = materialize(rank_level(mine_pairs(cells, spec, n_total, p_total, domain(2)), spec), "level2",
+                        base=workdir)
     levels = [level]
     for k in range(3, spec.max_len + 1):
         bases = beam(level, spec.beam)
         level = materialize(rank_level(extend_patterns(cells, bases, spec, k, n_total, p_total, domain(k)), spec),
-                            f"level{k}")
+                            f"level{k}", base=workdir)
         levels.append(level)
     merged = levels[0]
     for lv in levels[1:]:

@@ -17,7 +17,7 @@ from ..operators.mine import mine, top_n
 from ..operators.profile import composition, dataset_shape
 from ..operators.report import run_summary
 from ..operators.validate import stability, validate
-from ..session import materialize
+from ..session import delete_path, materialize, scratch_path
 from ..spec import PatternSpec
 
 
@@ -31,11 +31,16 @@ class MiningRun:
     train: str = "train"
     test: str = "test"
 
+    @cached_property
+    def workdir(self) -> str:
+        """This run's folder under the shared checkpoint folder."""
+        return scratch_path(self.rows.sparkSession, "run")
+
     @cached_property
     def cells(self) -> DataFrame:
         # One folder per split: the train and test reads each scan only their half.
         return materialize(build_cells(self.rows, self.spec, by=[self.split_col]), "cells",
-                           partition_by=(self.split_col,))
+                           partition_by=(self.split_col,), base=self.workdir)
 
     @cached_property
     def train_cells(self) -> DataFrame:
@@ -47,7 +52,7 @@ class MiningRun:
 
     @cached_property
     def patterns(self) -> DataFrame:
-        return materialize(mine(self.train_cells, self.spec), "patterns")
+        return materialize(mine(self.train_cells, self.spec, self.workdir), "patterns", base=self.workdir)
 
     @property
     def top(self) -> DataFrame:
@@ -66,6 +71,14 @@ class MiningRun:
     def shape(self) -> DataFrame:
         return dataset_shape(self.rows, by=[self.split_col])
 
+    def release(self) -> bool:
+        """Delete this run's intermediate tables. DataFrames of the run are
+        unusable afterwards; export results first."""
+        deleted = delete_path(self.rows.sparkSession, self.workdir)
+        for name in ("cells", "train_cells", "test_cells", "patterns", "validated", "workdir"):
+            self.__dict__.pop(name, None)
+        return deleted
+
 
 def run_from_files(spark, train_path: str, test_path: str, spec: PatternSpec | None = None,
                    fmt: str = "csv", schema=None) -> MiningRun:

@@ -47,7 +47,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def materialize(df: DataFrame, name: str = "table", partition_by: tuple[str, ...] = ()) -> DataFrame:
+def materialize(df: DataFrame, name: str = "table", partition_by: tuple[str, ...] = (),
+                base: str | None = None) -> DataFrame:
     """Cut lineage by writing ``df`` as Parquet under the shared checkpoint
     folder and reading it back: one job, one pass over the input, and a lost
     executor re-reads the files instead of re-running the upstream scan.
@@ -55,7 +56,7 @@ def materialize(df: DataFrame, name: str = "table", partition_by: tuple[str, ...
     writes one folder per value, so a filter on that column reads only its
     folder."""
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = f"{base.rstrip('/')}/{name}-{os.urandom(6).hex()}" if base else scratch_path(spark, name)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -68,3 +69,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark)
     return os.path.join(base, "tables", f"{name}-{os.urandom(6).hex()}")
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder this library wrote (any Hadoop file system: HDFS, S3,
+    local). Returns whether something was deleted."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(hpath, True))

@@ -205,3 +205,13 @@ def test_read_latest_falls_back_to_all(spark, run01, tmp_path):
     back = read_latest_patterns(spark, base)
     assert back.count() == run01.patterns.count()
     assert {r.kind for r in back.select("kind").distinct().collect()} == {"all"}
+
+
+def test_release_deletes_run_folder(spark):
+    import os
+    r = run(spark, SF001)
+    assert r.patterns.count() > 0
+    folder = r.workdir.replace("file:", "")
+    assert os.path.isdir(folder) and len(os.listdir(folder)) >= 5  # cells, domains, 3 levels, patterns
+    assert r.release()
+    assert not os.path.exists(folder)
