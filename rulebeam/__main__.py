@@ -42,6 +42,7 @@ def main(argv=None) -> int:
         for name in ("shape", "nulls", "class_balance", "composition", "rates", "comparison",
                      "rate_by_time_period", "rate_by_amount"):
             _show(name, getattr(p, name))
+        r.release()
     elif args.step == "mine":
         if not args.out:
             ap.error("--out is required")
@@ -52,6 +53,7 @@ def main(argv=None) -> int:
         _show("top patterns", report_table(r.patterns).orderBy("rank"))
         _show("validation", r.validated.select("rank", "pattern_name", "status").orderBy("rank"))
         print(f"\nresults written under {args.out} (run_id={run_id})")
+        r.release()  # intermediate tables; the exported results stay
     else:
         if not args.out:
             ap.error("--out is required")
