@@ -15,6 +15,7 @@ from rulebeam.operators.mine import apply_thresholds
 from rulebeam.operators.validate import NO_MATCH, stability, validate, validate_labels
 from rulebeam.plans.registry import run, txn
 from rulebeam.spec import event_spec
+from rulebeam.functions.features import add_features
 
 
 def test_parse_label(spark):
@@ -215,3 +216,18 @@ def test_release_deletes_run_folder(spark):
     assert os.path.isdir(folder) and len(os.listdir(folder)) >= 5  # cells, domains, 3 levels, patterns
     assert r.release()
     assert not os.path.exists(folder)
+
+
+def test_read_transactions_unnamed_index(spark, tmp_path):
+    from rulebeam.sources.transactions import TRANSACTION_SCHEMA, read_transactions
+    text = (",trans_date_trans_time,cc_num,category,amt,gender,lat,long,dob,merch_lat,merch_long,is_fraud\n"
+            "0,2019-01-01 00:00:18,42,misc_net,4.97,F,36.08,-81.18,1988-03-09,36.01,-82.05,0\n"
+            "1,2019-01-01 23:10:00,43,shopping_net,950.5,M,48.89,-118.21,1962-01-19,49.16,-118.19,1\n")
+    path = tmp_path / "t.csv"
+    path.write_text(text)
+    for df in (read_transactions(spark, str(path), schema=TRANSACTION_SCHEMA),
+               read_transactions(spark, str(path), infer_schema=True)):
+        assert "_c0" not in df.columns and "cc_num" in df.columns
+        rows = add_features(df).orderBy("trans_date_trans_time").collect()
+        assert [(r.time_period, r.amt_category, r.is_fraud) for r in rows] == [
+            ("night", "very_low", 0), ("night", "very_high", 1)]
