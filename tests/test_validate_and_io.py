@@ -231,3 +231,16 @@ def test_read_transactions_unnamed_index(spark, tmp_path):
         rows = add_features(df).orderBy("trans_date_trans_time").collect()
         assert [(r.time_period, r.amt_category, r.is_fraud) for r in rows] == [
             ("night", "very_low", 0), ("night", "very_high", 1)]
+
+
+def test_export_roundtrip_parquet(spark, run01, tmp_path):
+    from rulebeam.sinks import writers as K
+    from rulebeam.sources.results import read_latest_patterns
+    base = str(tmp_path / "pq")
+    K.write_patterns(run01.patterns, base, "20240101_000000", 15, fmt="parquet")
+    K.write_validation(run01.validated, base, "20240101_000000", fmt="parquet")
+    back = read_latest_patterns(spark, base, fmt="parquet")
+    assert back.count() == 15 and back.filter("Rank = 1").first().Pattern_Name == \
+        run01.patterns.filter("rank = 1").first().pattern_name
+    val = spark.read.parquet(f"{base}/kind=validation")
+    assert dict(val.dtypes)["Train_Confidence"] == "double"  # nulls, not N/A text, in Parquet
