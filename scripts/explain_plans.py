@@ -57,7 +57,13 @@ def final_plan(df) -> str:
         if not body.strip():
             continue
         line = re.sub(r"#\d+L?", "", line)
-        lines.append(line if len(line) <= 220 else line[:217] + "...")
+        if "FileScan" in line:
+            # keep what shows pruning: partition filters, pushed filters, read schema
+            head = line[:line.index("FileScan")] + "FileScan " + line.split("FileScan ", 1)[1].split(" [", 1)[0]
+            parts = [m.group(0)[:160] for key in ("PartitionFilters", "PushedFilters", "ReadSchema")
+                     for m in [re.search(key + r": (\[[^\]]*\]|\S+)", line)] if m]
+            line = head + " " + ", ".join(parts)
+        lines.append(line if len(line) <= 260 else line[:257] + "...")
     return "\n".join(lines)
 
 
