@@ -147,7 +147,7 @@ def domain_ctes(src_long: str, b: Binding = EVENTS) -> list[str]:
         "ranked AS (SELECT feature, value, cnt, row_number() OVER (PARTITION BY feature "
         "ORDER BY cnt DESC, value ASC NULLS LAST) AS r FROM vc)",
     ]
-    for lvl, fixed, k in ((2, fixed2, S.PatternSpec.top_k(2)), (3, fixed3, S.PatternSpec.top_k(3))):
+    for lvl, fixed, k in ((2, fixed2, S.PatternSpec().top_k(2)), (3, fixed3, S.PatternSpec().top_k(3))):
         out.append(f"rf{lvl}(feature, fidx) AS (VALUES {fidx_rows(fixed)})")
         out.append(
             f"dom{lvl} AS ({fixed_values(fixed)}\n"
@@ -359,7 +359,7 @@ FROM (SELECT split AS dataset, count(*) AS n_rows, count(*) FILTER (WHERE is_fra
   count(*) AS n, count(*) FILTER (WHERE is_fraud = 1) AS p, count(*) FILTER (WHERE is_fraud = 0) AS q
 FROM feat GROUP BY ALL"""),
         "top_values": q(f"""SELECT feature, value, CAST(cnt AS BIGINT) AS count, CAST(r AS INTEGER) AS value_rank
-FROM ranked WHERE r <= {S.PatternSpec.top_k(2)} AND value IS NOT NULL""", long_form("train", "rl"),
+FROM ranked WHERE r <= {S.PatternSpec().top_k(2)} AND value IS NOT NULL""", long_form("train", "rl"),
                         *domain_ctes("rl")[:2]),
         "item_domain_l2": q("SELECT feature, CAST(fidx AS INTEGER) AS fidx, value, CAST(vrank AS INTEGER) AS vrank "
                             "FROM dom2", long_form("train", "rl"), *domain_ctes("rl")),

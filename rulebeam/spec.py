@@ -71,6 +71,9 @@ EVENT_DOMAINS = {
 }
 
 MIN_SUPPORT = {2: 0.0005, 3: 0.0002, 4: 0.0002}
+# Ranked (non-fixed) features keep max(TOP_K_MIN, TOP_K_BASE - level) values.
+TOP_K_BASE = 5
+TOP_K_MIN = 2
 MIN_CONFIDENCE = {2: 0.02}
 BEAM = 15
 TOP_N = 15
@@ -145,15 +148,17 @@ class PatternSpec:
     dedupe: bool = False
     tolerances: tuple[float, float, float] = (
         STABLE_SUPPORT_DIFF, STABLE_CONFIDENCE_DIFF, STABLE_LIFT_DIFF)
+    # Values per ranked feature at a domain level: max(top_k_min, top_k_base - level).
+    top_k_base: int = TOP_K_BASE
+    top_k_min: int = TOP_K_MIN
 
     @staticmethod
     def domain_level(level: int) -> int:
         """Extension levels all draw candidates from the level-3 domain."""
         return 2 if level <= 2 else 3
 
-    @staticmethod
-    def top_k(level: int) -> int:
-        return max(2, 5 - level)
+    def top_k(self, level: int) -> int:
+        return max(self.top_k_min, self.top_k_base - level)
 
     def fixed_domain(self, level: int) -> Mapping[str, Sequence[str]]:
         return self.domains.get(self.domain_level(level), {})
