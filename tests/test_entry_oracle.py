@@ -47,9 +47,15 @@ def _canon(cols, rows):
     return sorted((tuple(_norm(r[i]) for i in order) for r in rows), key=repr)
 
 
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+                 "BOOLEAN": "boolean", "DATE": "date", "TIMESTAMP": "timestamp_ntz"}
+
+
 @pytest.mark.parametrize("name", sorted(set(oracle_sql())))
 def test_oracle_equal(spark, duck, name):
     sdf = queries()[name](spark, SF001)
+    rel = duck.sql(oracle_sql()[name])
+    assert dict(sdf.dtypes) == {c: DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
     res = duck.execute(oracle_sql()[name])
     dcols = [c[0] for c in res.description]
     assert sorted(sdf.columns) == sorted(dcols)
