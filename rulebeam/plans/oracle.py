@@ -355,6 +355,13 @@ FROM (SELECT split AS dataset, count(*) AS n_rows, count(*) FILTER (WHERE is_fra
         CAST(count(*) FILTER (WHERE is_fraud = 1) AS DOUBLE) / count(*) * 100 AS fraud_rate_pct
       FROM feat GROUP BY split)"""),
         "temporal_profile": rate_long_sql(("hour", "day_of_week", "month")),
+        "profile_rates_from_cells": q(f"""SELECT split, feature, value,
+  CAST(count(*) FILTER (WHERE is_fraud = 0) AS BIGINT) AS "0", CAST(count(*) FILTER (WHERE is_fraud = 1) AS BIGINT) AS "1",
+  CAST(count(*) FILTER (WHERE is_fraud IN (0, 1)) AS BIGINT) AS total,
+  round(CAST(count(*) FILTER (WHERE is_fraud = 1) AS DOUBLE) / count(*) FILTER (WHERE is_fraud IN (0, 1)) * 100, 2)
+    AS fraud_rate
+FROM ({' UNION ALL '.join(f"SELECT split, '{f}' AS feature, CAST({f} AS VARCHAR) AS value, is_fraud FROM feat"
+                          for f in S.PROFILE_FEATURES)}) x GROUP BY split, feature, value"""),
         "cells": q(f"""SELECT split, {', '.join(f'CAST({f} AS VARCHAR) AS {f}' for f in FEATS)},
   count(*) AS n, count(*) FILTER (WHERE is_fraud = 1) AS p, count(*) FILTER (WHERE is_fraud = 0) AS q
 FROM feat GROUP BY ALL"""),

@@ -115,6 +115,13 @@ def q_compare_datasets(spark, sf):
     return P.compare_datasets(txn(spark, sf))
 
 
+def q_profile_rates_from_cells(spark, sf):
+    """Entry point 1's rate table: both splits, rounded, read from the cell table."""
+    from .eda import profile
+    r = run(spark, sf)
+    return profile(r.rows, cells=r.cells).rates
+
+
 def q_temporal_profile(spark, sf):
     return R.temporal_profile(train_rows(spark, sf))
 
@@ -373,6 +380,7 @@ def all_queries() -> dict[str, Query]:
         "rate_amount_ordered": q_rate_amount_ordered,
         "compare_datasets": q_compare_datasets,
         "temporal_profile": q_temporal_profile,
+        "profile_rates_from_cells": q_profile_rates_from_cells,
         "cells": q_cells,
         "top_values": q_top_values,
         "item_domain_l2": q_item_domain_l2,
