@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from .simhash import op9_simhash_near_dedup
 from .token_counts import op5_token_counts
 
 
 def all_queries() -> dict:
     return {
         "op5_token_counts": op5_token_counts,
+        "op9_simhash_near_dedup": op9_simhash_near_dedup,
     }
 
 
