@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from .decontaminate import OP4_SQL, op4_benchmark_decontamination
 from .simhash import op9_simhash_near_dedup
 from .token_counts import op5_token_counts
 
 
 def all_queries() -> dict:
     return {
+        "op4_benchmark_decontamination": op4_benchmark_decontamination,
         "op5_token_counts": op5_token_counts,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
     }
 
 
 def all_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op4_benchmark_decontamination": OP4_SQL,
+    }
