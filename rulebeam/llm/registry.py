@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .decontaminate import OP4_SQL, op4_benchmark_decontamination
+from .language import op6_language_id
 from .packing import op7_packing
 from .simhash import op9_simhash_near_dedup
 from .token_counts import op5_token_counts
@@ -12,6 +13,7 @@ def all_queries() -> dict:
     return {
         "op4_benchmark_decontamination": op4_benchmark_decontamination,
         "op5_token_counts": op5_token_counts,
+        "op6_language_id": op6_language_id,
         "op7_packing": op7_packing,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
     }
