@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .decontaminate import OP4_SQL, op4_benchmark_decontamination
 from .language import op6_language_id
+from .line_dedup import op1_line_dedup
 from .packing import op7_packing
 from .simhash import op9_simhash_near_dedup
 from .token_counts import op5_token_counts
@@ -11,6 +12,7 @@ from .token_counts import op5_token_counts
 
 def all_queries() -> dict:
     return {
+        "op1_line_dedup": op1_line_dedup,
         "op4_benchmark_decontamination": op4_benchmark_decontamination,
         "op5_token_counts": op5_token_counts,
         "op6_language_id": op6_language_id,
