@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .decontaminate import OP4_SQL, op4_benchmark_decontamination
+from .html_text import op3_html_extraction
 from .language import op6_language_id
 from .line_dedup import op1_line_dedup
 from .packing import op7_packing
@@ -13,6 +14,7 @@ from .token_counts import op5_token_counts
 def all_queries() -> dict:
     return {
         "op1_line_dedup": op1_line_dedup,
+        "op3_html_extraction": op3_html_extraction,
         "op4_benchmark_decontamination": op4_benchmark_decontamination,
         "op5_token_counts": op5_token_counts,
         "op6_language_id": op6_language_id,
