@@ -5,6 +5,7 @@ from __future__ import annotations
 from .decontaminate import OP4_SQL, op4_benchmark_decontamination
 from .html_text import op3_html_extraction
 from .language import op6_language_id
+from .licenses import op8_license_scan, op8_sql
 from .line_dedup import op1_line_dedup
 from .packing import op7_packing
 from .simhash import op9_simhash_near_dedup
@@ -19,6 +20,7 @@ def all_queries() -> dict:
         "op5_token_counts": op5_token_counts,
         "op6_language_id": op6_language_id,
         "op7_packing": op7_packing,
+        "op8_license_scan": op8_license_scan,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
     }
 
@@ -26,4 +28,5 @@ def all_queries() -> dict:
 def all_sql() -> dict[str, str]:
     return {
         "op4_benchmark_decontamination": OP4_SQL,
+        "op8_license_scan": op8_sql(),
     }
