@@ -27,9 +27,12 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
 import unicodedata
 import zlib
+from array import array
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +47,7 @@ CAPACITY = 2048
 GRAIN = 8
 END_ID = 1
 # Distinct pre-tokens remembered by a task before its memo starts anew.
-MEMO = 800_000
+MEMO = 1_000_000
 # Column generation ends within this share of the program's optimum.
 GAP = 2e-3
 # Rounds of column generation; the plan is whole after any number of them.
@@ -77,10 +80,11 @@ class WordEncoder:
         special = [t["content"] for t in spec["added_tokens"]]
         self.whole = re.compile("|".join(["[^\t-\r -~\xa0-ɏ–-…€]", *map(re.escape, special)]))
         self.memo: dict[str, bytes] = {}
-        # A pre-token's last id, and no other, ends with the word-end mark.
-        suffix, vocab = spec["model"]["end_of_word_suffix"], self.tok.get_vocab(with_added_tokens=True)
-        self.last = np.zeros(max(vocab.values()) + 1, bool)
-        self.last[[i for w, i in vocab.items() if w.endswith(suffix)]] = True
+        # The byte-level alphabet: printable Latin-1 stands for itself, other bytes for 256 and up in order.
+        self.model, self.bytes = self.tok.model, {}
+        for c in range(256):
+            if not (33 <= c <= 126 or 161 <= c <= 172 or c >= 174):
+                self.bytes[c] = 256 + len(self.bytes)
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
@@ -103,19 +107,24 @@ class WordEncoder:
 
 
     def _learn(self, new: list[str]) -> None:
-        """Encode pre-tokens, many in one text, cut at the ids that end words."""
-        for i in range(0, len(new), 4000):
-            some = new[i:i + 4000]
-            ids = np.asarray(self.tok.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
-            ends = np.flatnonzero(self.last[ids]) + 1
-            if len(ends) != len(some):
-                raise ValueError("words and word ends differ; the memo does not hold for this tokenizer")
-            packed, ends = ids.tobytes(), (ends * 4).tolist()
-            self.memo.update(zip(some, (packed[a:z] for a, z in zip([0, *ends], ends))))
+        """Merge pre-tokens by the tokenizer's own model."""
+        merge, memo, table = self.model.tokenize, self.memo, self.bytes
+        for w in new:
+            letters = w if w.isascii() else w.encode().decode("latin-1").translate(table)
+            memo[w] = _pack([t.id for t in merge(letters)])
+
+
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> WordEncoder:
+    """One encoder per Python worker, so that its memo outlives a task."""
+    return WordEncoder(path)
 
 
 def _pack(ids: list[int]) -> bytes:
-    return np.asarray(ids, "<u4").tobytes()
+    a = array("I", ids)
+    if sys.byteorder == "big":
+        a.byteswap()
+    return a.tobytes()
 
 
 def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, grain: int = GRAIN,
@@ -125,10 +134,9 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, grain:
     end = _pack([end_id])
 
     def run(batches):
-        encoder, seen, row = None, Counter(), 0
+        encoder, seen, row = _encoder(tokenizer), Counter(), 0
         task = TaskContext.get().partitionId()
         for part, data, offs in text_slices(batches, "text"):
-            encoder = encoder or WordEncoder(tokenizer)
             out = []
             for doc, ids in zip(part.column(0).to_pylist(), encoder.ids(texts_of(data, offs))):
                 ids += end
