@@ -8,6 +8,7 @@ from .language import op6_language_id
 from .licenses import op8_license_scan, op8_sql
 from .line_dedup import op1_line_dedup
 from .packing import op7_packing
+from .quality import op10_quality_classifier
 from .simhash import op9_simhash_near_dedup
 from .token_counts import op5_token_counts
 
@@ -22,6 +23,7 @@ def all_queries() -> dict:
         "op7_packing": op7_packing,
         "op8_license_scan": op8_license_scan,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
+        "op10_quality_classifier": op10_quality_classifier,
     }
 
 
