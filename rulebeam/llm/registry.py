@@ -7,6 +7,7 @@ from .html_text import op3_html_extraction
 from .language import op6_language_id
 from .licenses import op8_license_scan, op8_sql
 from .line_dedup import op1_line_dedup
+from .neighbors import op2_nearest_neighbours
 from .packing import op7_packing
 from .quality import op10_quality_classifier
 from .simhash import op9_simhash_near_dedup
@@ -16,6 +17,7 @@ from .token_counts import op5_token_counts
 def all_queries() -> dict:
     return {
         "op1_line_dedup": op1_line_dedup,
+        "op2_nearest_neighbours": op2_nearest_neighbours,
         "op3_html_extraction": op3_html_extraction,
         "op4_benchmark_decontamination": op4_benchmark_decontamination,
         "op5_token_counts": op5_token_counts,
