@@ -24,6 +24,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh_name(name: str, columns: list[str]) -> str:
+    """``name``, with underscores before it until no column has that name."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def text_slices(batches, column: str = "text",
                 max_bytes: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Cut record batches into slices of about ``max_bytes`` text bytes.

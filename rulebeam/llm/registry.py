@@ -15,7 +15,9 @@ from .token_counts import op5_token_counts
 
 
 def all_queries() -> dict:
+    import corpus_pipeline
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_line_dedup": op1_line_dedup,
         "op2_nearest_neighbours": op2_nearest_neighbours,
         "op3_html_extraction": op3_html_extraction,
@@ -30,7 +32,9 @@ def all_queries() -> dict:
 
 
 def all_sql() -> dict[str, str]:
-    return {
+    import corpus_pipeline
+    sql = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
+    return sql | {
         "op4_benchmark_decontamination": OP4_SQL,
         "op8_license_scan": op8_sql(),
     }

@@ -82,16 +82,19 @@ def fingerprints_of(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGL
     return out
 
 
-def add_fingerprints(docs: DataFrame, shingle: int = SHINGLE, text: str = "text") -> DataFrame:
-    """(doc_id, fp) of every row; fp is the fingerprint's 64 bits as a signed long."""
+def add_fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(doc_id, text_hash, fp) of every row; fp is the fingerprint's 64 bits as a signed long."""
 
     def run(batches):
-        for part, data, offs in text_slices(batches, text):
+        for part, data, offs in text_slices(batches):
             fp = fingerprints_of(data, offs, shingle).view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(fp)],
+                                             names=["doc_id", "text_hash", "fp"])
 
-    return (docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", f"CAST(`{text}` AS STRING) AS `{text}`")
-            .mapInArrow(run, "doc_id long, fp long"))
+    text = F.col("text").cast("string")
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
+                        text.alias("text"))
+            .mapInArrow(run, "doc_id long, text_hash long, fp long"))
 
 
 class BKTree:
@@ -229,16 +232,19 @@ def hamming_links(distinct: DataFrame, radius: int = RADIUS, blocks: int = BLOCK
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
-    """(doc_id, fp, component_id) of every row of ``docs``."""
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, blocks: int = BLOCKS,
+                    keep_hash: bool = False) -> DataFrame:
+    """(doc_id, fp, component_id) of every row of ``docs``; with ``keep_hash`` also text_hash and
+    root, a value per component that is never null."""
     prints = materialize(add_fingerprints(docs, shingle), "fingerprints")
     distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
     roots = connected_components(hamming_links(distinct.select("fp"), radius, blocks))
     rooted = (distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
               .withColumn("root", F.coalesce("root", "fp")))
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = rooted.join(least, "root").select("fp", "component_id", "root")
+    more = ["text_hash", "root"] if keep_hash else []
+    return prints.join(named, "fp").select("doc_id", "fp", "component_id", *more)
 
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -86,7 +86,7 @@ def test_tree_finds_exactly_the_ball():
         assert sorted(tree.values[i] for i in tree.within(x, 4)) == [y for y in prints if (x ^ y).bit_count() <= 4]
 
 
-def test_prints_of_a_slice:
+def test_prints_of_a_slice():
     texts = ["a b c d e f g h", "", "x", "a b c d e f g i"]
     data = np.frombuffer("".join(texts).encode(), np.uint8)
     offs = np.cumsum([0] + [len(t) for t in texts])
