@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, text_slices
+from .common import fresh_name, read_table, text_slices
 
 BUCKETS_BITS = 15
 BUCKETS = 1 << BUCKETS_BITS
@@ -154,10 +154,14 @@ def fit_language(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageM
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.col("lang").cast("string").alias("lang")).where("lang IS NOT NULL AND text IS NOT NULL")
     rows = rows.where(~_held_out())
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    # The languages are the model's classes; the driver needs their names and sizes anyway.
+    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not sizes:
+        return LanguageModel()
+    share = F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, per_language / n)])
     spread = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("language sample")), 11) / F.lit(float(1 << 53))
-    sample = (rows.join(counts, "lang").withColumn("spread", spread)
-              .where(F.col("spread") * F.col("n") < per_language).select("spread", "lang", "text"))
+    sample = (rows.withColumn("spread", spread).where(F.col("spread") < F.try_element_at(share, F.col("lang")))
+              .select("spread", "lang", "text"))
 
     def features(batches):
         for part, data, offs in text_slices(batches):
@@ -177,14 +181,16 @@ def fit_language(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageM
 
 
 def identify(docs: DataFrame, model: LanguageModel, keep: list[str] | None = None) -> DataFrame:
-    """Per row: doc_id, held_out, lang_pred, score, rejected; with ``keep``, these columns of
-    ``docs`` and ``rejected``."""
+    """Per row: doc_id, held_out, lang_pred, score, rejected; with ``keep`` (text among them), these
+    columns of ``docs`` and the last three, with underscores before names that are taken."""
     extra = docs.select(*(keep or [F.col("doc_id").cast("long").alias("doc_id"), _held_out().alias("held_out"),
                                    F.col("text").cast("string").alias("text")]))
     place = extra.columns.index("text")
     names = [c for c in extra.columns if c != "text" or keep]
     fields = [f for f in extra.schema.fields if f.name in names]
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    found = [fresh_name(c, names) for c in ("lang_pred", "score", "rejected")]
+    ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields),
+                     *(f"`{c}` {kind}" for c, kind in zip(found, ("string", "double", "boolean")))])
 
     def run(batches):
         for part, data, offs in text_slices(batches):
@@ -200,9 +206,9 @@ def identify(docs: DataFrame, model: LanguageModel, keep: list[str] | None = Non
             rejected = ~letters | (score < model.threshold) | (not model.languages)
             cols = [part.column(i) for i in range(part.num_columns) if keep or i != place]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(pred, pa.string()), pa.array(np.clip(score, 0, 1)),
-                                              pa.array(rejected)], names=[*names, "lang_pred", "score", "rejected"])
+                                              pa.array(rejected)], names=[*names, *found])
 
-    return extra.mapInArrow(run, f"{ddl}, lang_pred string, score double, rejected boolean")
+    return extra.mapInArrow(run, ddl)
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
