@@ -18,17 +18,16 @@ ITEM_TYPE = T.StructType([T.StructField("feature", T.StringType()), T.StructFiel
 ITEMS_TYPE = T.ArrayType(ITEM_TYPE)
 
 
-def item(feature: Column | str, value: Column) -> Column:
-    feature = F.lit(feature) if isinstance(feature, str) else feature
-    return F.struct(feature.alias("feature"), value.cast("string").alias("value"))
+def quoted(name: str) -> str:
+    """A column name as one identifier, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
 
 
 def cell_items(features: Sequence[str]) -> Column:
     """The (feature, value) items of a row, one per feature, with the
     feature's index in generation order."""
-    return F.expr("array(" + ", ".join(
-        f"named_struct('fidx', {i}, 'feature', '{f}', 'value', CAST(`{f}` AS STRING))"
-        for i, f in enumerate(features)) + ")")
+    return F.array(*[F.struct(F.lit(i).alias("fidx"), F.lit(f).alias("feature"),
+                              F.col(quoted(f)).cast("string").alias("value")) for i, f in enumerate(features)])
 
 
 def pattern_label(items: Column) -> Column:
@@ -99,21 +98,17 @@ def confidence_column(df: DataFrame) -> str | None:
     return None
 
 
-# Columns whose pattern values are typed integers in the enhanced table.
-INT_FEATURES = ("is_weekend", "day_of_week", "hour", "month")
-
-
 def items_to_predicate(items: Sequence[tuple[str, str]], schema: T.StructType) -> Column:
     """Conjunction of typed equality tests for a literal pattern.
 
-    Each value is cast to the column's own type (so ``is_weekend=0`` tests an
-    int), falling back to a string comparison for unknown columns.
+    Each value is cast to the column's own type (so ``is_weekend=01`` tests an int). A
+    value that is none of that type matches no row; an unknown column is an error.
     """
     types = {f.name: f.dataType for f in schema.fields}
     cond = F.lit(True)
     for feature, value in items:
         feature, value = feature.strip(), value.strip()
-        dtype = types.get(feature)
-        lit = F.lit(value).cast(dtype) if dtype is not None else F.lit(value)
-        cond = cond & (F.col(feature) == lit)
+        if feature not in types:
+            raise ValueError(f"unknown column {feature}")
+        cond = cond & F.coalesce(F.col(quoted(feature)) == F.lit(value).try_cast(types[feature]), F.lit(False))
     return cond

@@ -23,19 +23,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.items import cell_items, itemset_key, pattern_label, pattern_type
+from ..functions.items import cell_items, itemset_key, pattern_label, pattern_type, quoted
 from ..functions.metrics import with_rule_metrics
 from ..session import materialize
 from ..spec import PatternSpec
 from .cells import total_columns
-from .domain import all_domains, item_domain
+from .domain import all_domains, item_domain, value_counts
 
 GEN_KEYS = ("g1", "g2", "g3", "g4")
 
 
 def apply_thresholds(df: DataFrame, spec: PatternSpec, level: int) -> DataFrame:
     """Support (and confidence / lift where configured), inclusive."""
-    cond = F.col("support") >= F.lit(float(spec.min_support.get(level, 0.0)))
+    # Levels beyond the configured ones keep the last configured support.
+    known = [k for k in spec.min_support if k <= level]
+    cond = F.col("support") >= F.lit(float(spec.min_support[max(known)] if known else 0.0))
     if level in spec.min_confidence:
         cond = cond & (F.col("confidence") >= F.lit(float(spec.min_confidence[level])))
     if spec.min_lift is not None:
@@ -47,13 +49,14 @@ def pair_counts(cells: DataFrame, spec: PatternSpec, domain: DataFrame | None =
     """(ia, fa, va, ib, fb, vb[, ra, rb], n, p) for every feature pair i<j
     present in the data; restricted to ``domain`` values when given."""
     feats = spec.features
-    pairs = ", ".join(
-        f"named_struct('ia', {i}, 'fa', '{a}', 'va', `{a}`, 'ib', {j}, 'fb', '{b}', 'vb', `{b}`)"
-        for i, a in enumerate(feats) for j, b in enumerate(feats) if i < j)
-    x = cells.selectExpr("n", "p", f"inline(array({pairs}))")
+    pairs = F.array(*[
+        F.struct(F.lit(i).alias("ia"), F.lit(a).alias("fa"), F.col(quoted(a)).alias("va"),
+                 F.lit(j).alias("ib"), F.lit(b).alias("fb"), F.col(quoted(b)).alias("vb"))
+        for i, a in enumerate(feats) for j, b in enumerate(feats) if i < j])
+    x = cells.select("n", "p", F.inline(pairs))
     keys = [x["ia"], x["fa"], x["va"], x["ib"], x["fb"], x["vb"]]
     if domain is not None:
-        # One broadcast of the domain, probed twice (the exchange is reused).
+        # The domain (spec-bounded) is broadcast for each side of the pair.
         d = F.broadcast(domain.select("feature", "value", "vrank"))
         da, db = d.alias("da"), d.alias("db")
         x = (x.join(da, (x["fa"] == F.col("da.feature")) & (x["va"] == F.col("da.value")))
@@ -104,10 +107,29 @@ def match_first_item(cells: DataFrame, spec: PatternSpec, patterns: DataFrame, i
     return j.drop("it", "_f0", "_v0")
 
 
+def match_rarest_item(cells: DataFrame, spec: PatternSpec, patterns: DataFrame,
+                      items_col: str = "items") -> DataFrame:
+    """Cells joined to the patterns whose rarest item they hold. For pattern tables
+    of any size: patterns that share a frequent item meet its cells only if they have
+    no rarer one. Patterns with an item that no cell holds have no output."""
+    counts = value_counts(cells, spec.features).select(
+        F.struct("feature", "value").alias("_rare"), F.col("count").alias("_rows"))
+    pats = patterns.withColumn("_id", F.xxhash64(items_col))
+    ask = pats.select("_id", F.explode(F.transform(
+        items_col, lambda i: F.struct(i["feature"].alias("feature"), i["value"].alias("value")))).alias("_rare")).distinct()
+    best = (ask.join(counts, "_rare", "left").groupBy("_id")
+            .agg(F.min(F.struct(F.coalesce("_rows", F.lit(0)).alias("rows"), F.col("_rare"))).alias("_best"))
+            .where(F.col("_best.rows") > 0).select("_id", F.col("_best._rare").alias("_rare")))
+    c = cells_with_items(cells, spec).select("n", "p", "cell", F.explode("cell").alias("it")).select(
+        "n", "p", "cell", F.struct(F.col("it.feature").alias("feature"), F.col("it.value").alias("value")).alias("_rare"))
+    return c.join(pats.join(best, "_id"), "_rare").drop("_rare", "_id")
+
+
 def match_patterns(cells: DataFrame, spec: PatternSpec, patterns: DataFrame, items_col: str = "items",
                    bounded: bool = False) -> DataFrame:
     """Cells joined to every pattern they contain completely."""
-    m = match_first_item(cells, spec, patterns, items_col, bounded)
+    m = (match_first_item(cells, spec, patterns, items_col, bounded) if bounded
+         else match_rarest_item(cells, spec, patterns, items_col))
     return m.filter(contains_all(F.col("cell"), F.col(items_col)))
 
 

@@ -86,9 +86,9 @@ def run_summary(train_composition: DataFrame, test_rows: DataFrame, patterns: Da
     test_n = test_rows.select(F.col("n_rows").cast("double")).scalar()
     m = S.SUMMARY_METRICS
     row = train_composition.select(
-        F.col("n_labelled").cast("double").alias(m[0]),
-        test_n.alias(m[1]),
-        F.col("fraud_rate_pct").alias(m[2]),
+        F.coalesce(F.col("n_labelled").cast("double"), F.lit(0.0)).alias(m[0]),
+        F.coalesce(test_n, F.lit(0.0)).alias(m[1]),
+        F.coalesce(F.col("fraud_rate_pct"), F.lit(0.0)).alias(m[2]),
         F.coalesce(pat["n"], F.lit(0.0)).alias(m[3]),
         F.coalesce(val["valid"], F.lit(0.0)).alias(m[4]),
         F.coalesce(val["stable"], F.lit(0.0)).alias(m[5]),
@@ -164,12 +164,13 @@ def validation_long(validated: DataFrame, key: str = "rank") -> DataFrame:
 
 def summary_lines(patterns: DataFrame, source: str, generated: str, top: int = S.SUMMARY_TOP,
                   width: int = S.SUMMARY_NAME_WIDTH) -> DataFrame:
-    """K6: the text summary as (line_no, line) rows: header, pattern count,
+    """K6: the text summary as (line_no, line) rows: a blank line, header, pattern count,
     data source, then the top patterns (name cut to ``width``) and their
     rate in percent with one decimal."""
     spark = patterns.sparkSession
     n = patterns.select(F.count(F.lit(1))).scalar()
     head = spark.range(1).select(F.inline(F.array(
+        F.struct(F.lit(0).alias("line_no"), F.lit("").alias("line")),
         F.struct(F.lit(1).alias("line_no"), F.lit(S.SUMMARY_HEADER).alias("line")),
         F.struct(F.lit(2).alias("line_no"), F.lit(S.SUMMARY_GENERATED.format(generated)).alias("line")),
         F.struct(F.lit(3).alias("line_no"), F.lit("").alias("line")),

@@ -7,6 +7,8 @@ stepwise counts.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from ..functions.items import parse_pattern_label
 from ..functions.metrics import rule_metrics
 from .. import spec as S
 from ..spec import PatternSpec
-from .cells import total_columns
+from .cells import build_cells, total_columns
 from .mine import contains_all, match_first_item, match_patterns
 
 NO_MATCH = S.REASON_NO_MATCH
@@ -87,6 +89,48 @@ def validate_labels(labels: DataFrame, cells: DataFrame, spec: PatternSpec, key:
     }).drop("parsed_ok", "parse_reason")
 
 
+def validate_labels_on_rows(labels: DataFrame, rows: DataFrame, spec: PatternSpec, key: str = "pattern_id",
+                            label_col: str = "pattern_name") -> DataFrame:
+    """M5/P16 for imported label text over any column of ``rows``.
+
+    Values are compared in the column's own type (``hour=07`` is hour 7). The rows are aggregated
+    once by the columns that some label names. Invalid labels say why: a part
+    without ``=``, an unknown column, a value that is none of the column's type, no matching
+    row, or a null label.
+    """
+    parsed = labels.withColumn("_parsed", parse_pattern_label(F.col(label_col)))
+    parsed = parsed.select(key, label_col, F.col("_parsed.items").alias("items"),
+                           F.coalesce(F.col("_parsed.ok"), F.lit(False)).alias("parsed_ok"),
+                           F.coalesce(F.col("_parsed.reason"), F.lit(S.REASON_NULL_LABEL)).alias("parse_reason"))
+    columns = [c for c in rows.columns if c != spec.label]
+    named = sorted(r[0] for r in parsed.where("parsed_ok").select(F.explode("items.feature")).distinct()
+                   .where(F.col("col").isin([*columns, spec.label])).collect())  # at most the columns of rows
+    types = {f.name: f.dataType for f in rows.schema.fields}
+
+    def typed(it):
+        value = F.lit(None).cast("string")
+        for c in named:
+            value = F.when(it["feature"] == c, it["value"].try_cast(types[c]).cast("string")).otherwise(value)
+        return F.struct(it["feature"].alias("feature"), value.alias("value"))
+
+    items = parsed.withColumn("typed", F.transform("items", typed))
+    wrong = F.transform("items", lambda it, i: F.when(
+        F.get("typed", i)["value"].isNull(), F.concat(
+            F.lit(S.REASON_FILTER_ERROR), (i + 1).cast("string"), F.lit(": "),
+            F.when(it["feature"].isin(named), F.concat(F.lit("malformed value "), it["value"]))
+            .otherwise(F.concat(F.lit("unknown column "), it["feature"])))))
+    items = items.withColumn("wrong", F.get(F.filter(wrong, lambda w: w.isNotNull()), F.lit(0)))
+    known = items.where("parsed_ok AND wrong IS NULL").select(key, F.col("typed").alias("items"))
+    plain = rows.withColumn("_label", F.col(spec.label))  # the label may be a named column too
+    over = replace(spec, features=tuple(named or columns[:1]), label="_label")
+    met = pattern_metrics(build_cells(plain, over), known, over, key)
+    out = items.join(met, key, "left")
+    return out.select(key, label_col, "pattern_total", "pattern_fraud", "support", "confidence", "lift", "score",
+                      F.col("pattern_total").isNotNull().alias("valid"),
+                      F.when(~F.col("parsed_ok"), F.col("parse_reason")).when(F.col("wrong").isNotNull(), F.col("wrong"))
+                      .when(F.col("pattern_total").isNull(), F.lit(NO_MATCH)).alias("reason"))
+
+
 def funnel(cells: DataFrame, patterns: DataFrame, spec: PatternSpec, key: str = "rank",
            bounded: bool = False) -> DataFrame:
     """rows left after each successive item condition, for every pattern

@@ -8,7 +8,7 @@ plan rather than repeat it.
 from __future__ import annotations
 
 from .. import spec as S
-from .registry import GIVEN_PATTERNS
+from .registry import ANY_COLUMN_PATTERNS, FIXED_RUN_ID, GIVEN_PATTERNS
 
 FEATS = S.MINING_FEATURES
 DOMAINS = S.EVENT_DOMAINS
@@ -300,6 +300,36 @@ def given_pattern_sql() -> str:
                              for p in parts)
         rows.append(f"SELECT {i + 1} AS pattern_id, {sql_str(text)} AS pattern_name, true AS ok, NULL AS why, "
                     f"count(*) AS n, count(*) FILTER (WHERE is_fraud = 1) AS p FROM train WHERE {conds}")
+    return measured_sql(rows)
+
+
+def any_column_sql() -> str:
+    rows = []
+    for i, (text, cond, why) in enumerate(ANY_COLUMN_PATTERNS):
+        head = f"SELECT {i + 1} AS pattern_id, {'CAST(NULL AS VARCHAR)' if text is None else sql_str(text)} AS pattern_name"
+        if cond is None:
+            rows.append(f"{head}, false AS ok, {sql_str(why)} AS why, 0::BIGINT AS n, 0::BIGINT AS p")
+        else:
+            rows.append(f"{head}, true AS ok, NULL AS why, count(*) AS n, "
+                        f"count(*) FILTER (WHERE is_fraud = 1) AS p FROM train WHERE {cond}")
+    return measured_sql(rows)
+
+
+def summary_lines_sql(mine: list[str]) -> str:
+    head = ["", S.SUMMARY_HEADER, S.SUMMARY_GENERATED.format("run"), "", S.SUMMARY_DATASET, None,
+            S.SUMMARY_SOURCE.format("patterns"), "", S.SUMMARY_TOP_TITLE]
+    lines = "\n  UNION ALL ".join(
+        f"SELECT {i} AS line_no, " + (f"{sql_str(S.SUMMARY_COUNT)} || (SELECT count(*) FROM allp)" if t is None
+                                      else sql_str(t)) + " AS line" for i, t in enumerate(head))
+    top = f"""(SELECT *, CASE WHEN max(confidence) OVER () <= 1 THEN confidence * 100 ELSE confidence END AS pct
+      FROM allp WHERE rank <= {S.SUMMARY_TOP})"""
+    return q(f"""SELECT CAST(line_no AS INTEGER) AS line_no, line FROM ({lines}
+  UNION ALL SELECT 10 + rank * 3, rank || '. ' || substr(pattern_name, 1, {S.SUMMARY_NAME_WIDTH}) || '...' FROM {top} t
+  UNION ALL SELECT 11 + rank * 3, printf('   Fraud Rate: %.1f', pct) || '%' FROM {top} t
+  UNION ALL SELECT 12 + rank * 3, '' FROM {top} t) x""", *mine)
+
+
+def measured_sql(rows: list[str]) -> str:
     union = "\n  UNION ALL ".join(rows)
     return q(f"""SELECT CAST(g.pattern_id AS INTEGER) AS pattern_id, g.pattern_name,
   CASE WHEN g.ok AND g.n > 0 THEN CAST(g.n AS BIGINT) END AS pattern_total,
@@ -395,6 +425,7 @@ FROM allp WHERE rank <= {S.TOP_N}""", *mine),
         "min_lift": q(f"SELECT {PATTERN_COLS}, rank FROM allp",
                       *mining_ctes(min_lift=S.DOCUMENTED_MIN_LIFT)),
         "pattern_metrics_given": given_pattern_sql(),
+        "pattern_metrics_any_column": any_column_sql(),
     })
     val = [*mine, *test_metrics_ctes(S.VALIDATE_N)]
     funnel = [
@@ -498,4 +529,9 @@ FROM ({' UNION ALL '.join(f"SELECT '{f}' AS feature, CAST({f} AS VARCHAR) AS val
                           for f in S.LINEITEM_FEATURES)}) x GROUP BY feature, value""", b=ORDER_LINES),
     })
     out["streaming_cells"] = out["cells"]
+    out["export_roundtrip"] = out["files_patterns_top15"] = out["patterns_top15"]
+    out["summary_lines"] = summary_lines_sql(mine)
+    out["files_summary"] = f"""SELECT metric AS "Metric", value AS number, CAST(NULL AS VARCHAR) AS text
+FROM ({out["run_summary"]}) s
+UNION ALL SELECT '{S.SUMMARY_METRICS[8]}', CAST(NULL AS DOUBLE), '{FIXED_RUN_ID}'"""
     return out

@@ -22,12 +22,12 @@ from ..operators import report as R
 from ..operators.cells import build_cells, split_cells, total_columns
 from ..operators.domain import item_domain, literal_table, top_values
 from ..operators.mine import (extend_patterns, mine_pairs, pair_counts, rank_level, top_n)
-from ..operators.validate import funnel, validate_labels
+from ..operators.validate import funnel, validate_labels, validate_labels_on_rows
 from ..plans.mining import MiningRun
 from ..session import materialize, scratch_path
 from ..sinks import writers as K
 from ..sources.results import read_latest_patterns
-from ..sources.transactions import event_transactions
+from ..sources.transactions import TRANSACTION_SCHEMA, event_transactions
 from ..spec import event_spec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,19 @@ GIVEN_PATTERNS = (
     "time_period night AND gender=F",
 )
 
+# Labels over any column (pattern_metrics_any_column): text, SQL condition, reason where invalid.
+ANY_COLUMN_PATTERNS = (
+    ("hour=23 AND time_period=night", "hour = 23 AND time_period = 'night'", None),
+    ("month=01 AND gender=F", "month = 1 AND gender = 'F'", None),
+    ("is_weekend=01", "is_weekend = 1", None),
+    ("day_of_week = 7 AND category=purchase AND hour=7", "day_of_week = 7 AND category = 'purchase' AND hour = 7", None),
+    ("hour=31", "hour = 31", None),
+    ("gender=F AND nosuch=1", None, "Filter error on condition 2: unknown column nosuch"),
+    ("day_of_week=x", None, "Filter error on condition 1: malformed value x"),
+    ("hour 3 AND gender=F", None, "Invalid pattern part: hour 3"),
+    (None, None, "No pattern label"),
+)
+
 PATTERN_OUT = ("pattern_name", "level", "pattern_total", "pattern_fraud", "support", "confidence", "lift",
                "score", "level_rank")
 
@@ -163,11 +176,9 @@ def q_pairs_all(spark, sf):
 
 
 def q_pairs_grouping_sets(spark, sf):
-    """The same pair counts as one GROUPING SETS aggregate in Spark SQL."""
+    """The same pair counts as one GROUPING SETS aggregate over the cells in Spark SQL."""
     spec = event_spec()
-    rows = train_rows(spark, sf)
-    view = f"train_rows_{abs(hash(sf)) % 10**8}"
-    rows.createOrReplaceTempView(view)
+    cells = split_cells(build_cells(txn(spark, sf), spec, by=["split"]), "train")
     feats = spec.features
     sets = ", ".join(f"({a}, {b})" for i, a in enumerate(feats) for j, b in enumerate(feats) if i < j)
 
@@ -180,9 +191,9 @@ def q_pairs_grouping_sets(spark, sf):
     fb, vb = pick(tuple(reversed(feats)))
     return spark.sql(f"""
         SELECT {fa} AS fa, {va} AS va, {fb} AS fb, {vb} AS vb,
-               count(*) AS pattern_total, count_if({spec.label} = {spec.positive}) AS pattern_fraud
-        FROM {view}
-        GROUP BY GROUPING SETS ({sets})""")
+               sum(n) AS pattern_total, sum(p) AS pattern_fraud
+        FROM {{cells}}
+        GROUP BY GROUPING SETS ({sets})""", cells=cells)
 
 
 def q_pairs_kept(spark, sf):
@@ -226,6 +237,13 @@ def q_pattern_metrics_given(spark, sf):
     return validate_labels(labels, cells, spec).drop("items")
 
 
+def q_pattern_metrics_any_column(spark, sf):
+    """Labels over any column of the enhanced train table, with a reason for each that fails."""
+    labels = literal_table(spark, [(i + 1, t) for i, (t, _, _) in enumerate(ANY_COLUMN_PATTERNS)],
+                           "pattern_id int, pattern_name string")
+    return validate_labels_on_rows(labels, train_rows(spark, sf), event_spec())
+
+
 # --- validation -----------------------------------------------------------------------
 
 def q_pattern_funnel(spark, sf):
@@ -357,6 +375,39 @@ def q_export_roundtrip(spark, sf):
     return read_latest_patterns(spark, base).drop("kind", "run_id")
 
 
+FIXED_RUN_ID = "20240101_000000"
+
+
+def _files_run(spark, sf):
+    """The run of two CSV files with an unnamed index column."""
+    from .mining import run_from_files
+    base = scratch_path(spark, "csv")
+    t = event_transactions(spark, sf)
+    columns = [f.name for f in TRANSACTION_SCHEMA.fields]
+    for split in ("train", "test"):
+        (t.where(F.col("split") == split).select(F.col("event_id").alias(""), *columns)
+         .write.option("header", True).csv(f"{base}/{split}"))
+    return run_from_files(spark, f"{base}/train", f"{base}/test", event_spec()), f"{base}/results"
+
+
+def q_files_patterns_top15(spark, sf):
+    """CSV files in, CSV results out, newest result read again."""
+    from .mining import export
+    r, out = _files_run(spark, sf)
+    export(r, out, FIXED_RUN_ID)
+    return read_latest_patterns(spark, out).drop("kind", "run_id")
+
+
+def q_files_summary(spark, sf):
+    """K4 as written: every metric as number, the run stamp as text."""
+    from .mining import export
+    r, out = _files_run(spark, sf)
+    export(r, out, FIXED_RUN_ID)
+    s = spark.read.option("header", True).csv(f"{out}/kind=summary/run_id={FIXED_RUN_ID}")
+    number = F.col("Value").try_cast("double")
+    return s.select("Metric", number.alias("number"), F.when(number.isNull(), F.col("Value")).alias("text"))
+
+
 def q_streaming_cells(spark, sf):
     from ..streaming.cells import stream_cells_once
     return stream_cells_once(spark, sf, event_spec())
@@ -394,6 +445,7 @@ def all_queries() -> dict[str, Query]:
         "patterns_top15": q_patterns_top15,
         "min_lift": q_min_lift,
         "pattern_metrics_given": q_pattern_metrics_given,
+        "pattern_metrics_any_column": q_pattern_metrics_any_column,
         "pattern_funnel": q_pattern_funnel,
         "validate_top10": q_validate_top10,
         "stability_top10": q_stability_top10,
@@ -416,6 +468,8 @@ def all_queries() -> dict[str, Query]:
         "li_rate_all_features": q_li_rate_all_features,
         "summary_lines": q_summary_lines,
         "export_roundtrip": q_export_roundtrip,
+        "files_patterns_top15": q_files_patterns_top15,
+        "files_summary": q_files_summary,
         "streaming_cells": q_streaming_cells,
     })
     return q

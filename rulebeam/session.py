@@ -71,6 +71,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", f"{name}-{os.urandom(6).hex()}")
 
 
+def list_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob pattern (any Hadoop file system)."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().toString() for s in (fs.globStatus(hpath) or [])]
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Delete a folder this library wrote (any Hadoop file system: HDFS, S3,
     local). Returns whether something was deleted."""

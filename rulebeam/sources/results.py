@@ -6,15 +6,15 @@ import re
 from typing import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 
 from .. import spec as S
+from ..session import list_paths
 
-_EXPORT_TYPES = (T.IntegerType(), T.StringType(), T.StringType(), T.DoubleType(), T.DoubleType(), T.DoubleType(),
-                 T.DoubleType(), T.LongType(), T.LongType(), T.DoubleType())
-PATTERN_EXPORT_SCHEMA = T.StructType(
-    [T.StructField(n, t) for n, t in zip(S.PATTERN_EXPORT_COLUMNS, _EXPORT_TYPES)]
-    + [T.StructField("kind", T.StringType()), T.StructField("run_id", T.StringType())])
+# Types of the published pattern columns, by name; other columns stay text.
+PATTERN_TYPES = {"Rank": "int", "Support": "double", "Confidence": "double", "Lift": "double", "Score": "double",
+                 "Pattern_Total_Transactions": "bigint", "Pattern_Fraud_Transactions": "bigint",
+                 "Fraud_Rate_Percent": "double"}
 
 EXPECTED_PATTERN_COLUMNS = S.PATTERN_TABLE_MARKERS
 
@@ -24,28 +24,28 @@ def check_columns(df: DataFrame, any_of: Iterable[str] = EXPECTED_PATTERN_COLUMN
     return bool(set(df.columns) & set(any_of))
 
 
+def _load(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    """One result folder; CSV columns are matched by header name and cast."""
+    if fmt != "csv":
+        return spark.read.format(fmt).load(path)
+    df = spark.read.option("header", "true").csv(path)
+    return df.withColumns({c: F.col(c).try_cast(t) for c, t in PATTERN_TYPES.items() if c in df.columns})
+
+
 def read_latest_patterns(spark: SparkSession, base: str, prefer: str = "top", fallback: str = "all",
                          fmt: str = "csv") -> DataFrame:
-    """The pattern table of the newest run, preferring the ``prefer``
+    """The pattern table of the newest run, preferring the ``prefer``
     kind (top-N) over ``fallback`` (all). Summary tables never qualify.
 
-    "Newest" is the largest ``run_id`` partition value. The choice is made
-    from the file listing alone (no data is read to find it); only the chosen
-    folder is then read.
+    "Newest" is the largest ``run_id`` folder. The choice is made from folder names
+    alone; a table that does not look like pattern data is passed over for the next one.
     """
     base = base.rstrip("/")
-    reader = spark.read.option("basePath", base)
-    if fmt == "csv":
-        reader = reader.option("header", "true").schema(PATTERN_EXPORT_SCHEMA)
-        load = reader.csv
-    else:
-        load = reader.format(fmt).load
-    listed = load(f"{base}/kind=*/run_id=*").inputFiles()  # a glob: only folders that exist
-    found = (re.search(r"/kind=([^/]+)/run_id=([^/]+)/", f) for f in listed)
-    runs = {(m.group(1), m.group(2)) for m in found if m and m.group(1) in (prefer, fallback)}
-    if not runs:
-        raise FileNotFoundError(f"no pattern tables under {base}")
-    kinds = {k for k, _ in runs}
-    kind = prefer if prefer in kinds else fallback
-    run_id = max(r for k, r in runs if k == kind)
-    return load(f"{base}/kind={kind}/run_id={run_id}")
+    for kind in (prefer, fallback):
+        found = sorted((re.search(r"run_id=([^/]+)$", p).group(1) for p in list_paths(spark, f"{base}/kind={kind}/run_id=*")),
+                       reverse=True)
+        for run_id in found:
+            df = _load(spark, f"{base}/kind={kind}/run_id={run_id}", fmt)
+            if check_columns(df):
+                return df.withColumns({"kind": F.lit(kind), "run_id": F.lit(run_id)})
+    raise FileNotFoundError(f"no pattern tables under {base}")

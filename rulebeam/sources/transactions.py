@@ -66,19 +66,9 @@ class Holdout:
         return Holdout(df.filter(F.col(split_col) == "train"), df.filter(F.col(split_col) == "test"))
 
 
-_SCHEMAS: dict[tuple[int, str], T.StructType] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one Parquet table; its schema is inferred once per session and
-    path (inference is a Spark job of its own) and reused afterwards."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    if key not in _SCHEMAS:
-        df = spark.read.parquet(path)
-        _SCHEMAS[key] = df.schema
-        return df
-    return spark.read.schema(_SCHEMAS[key]).parquet(path)
+    """Read one Parquet table (a file or a folder of files)."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,10 +110,6 @@ def events_as_transactions(ev: DataFrame) -> DataFrame:
     )
 
 
-def event_holdout(spark: SparkSession, sf_dir: str) -> Holdout:
-    return Holdout.from_split(event_transactions(spark, sf_dir))
-
-
 def lineitem_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as labelled transactions: ``is_returned`` = return flag R,
     categorical features from the order, customer and part of each line,

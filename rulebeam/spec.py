@@ -112,6 +112,8 @@ STATUS_STABLE, STATUS_UNSTABLE, STATUS_FAILED = "STABLE", "UNSTABLE", "FAILED"
 VALID_YES, VALID_NO, NOT_AVAILABLE = "Yes", "No", "N/A"
 REASON_NO_MATCH = "No matching transactions"
 REASON_BAD_PART = "Invalid pattern part: "
+REASON_FILTER_ERROR = "Filter error on condition "
+REASON_NULL_LABEL = "No pattern label"
 RUN_STAMP_FORMAT = "%Y%m%d_%H%M%S"
 SUMMARY_HEADER = "FRAUD PATTERN ANALYSIS SUMMARY"
 SUMMARY_GENERATED = "Generated: {}"

@@ -3,6 +3,8 @@ streaming cells, profiling edge cases."""
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import SF001, SF01
@@ -37,6 +39,90 @@ def test_typed_predicate(spark):
     df = spark.createDataFrame([(0, "night"), (1, "night")], "is_weekend int, time_period string")
     cond = items_to_predicate([("is_weekend", "0"), ("time_period", " night ")], df.schema)
     assert df.filter(cond).count() == 1
+    assert df.filter(items_to_predicate([("is_weekend", "01")], df.schema)).count() == 1
+    assert df.filter(items_to_predicate([("is_weekend", "x")], df.schema)).count() == 0  # no error, no match
+    with pytest.raises(ValueError, match="unknown column nosuch"):
+        items_to_predicate([("nosuch", "1")], df.schema)
+
+
+def test_labels_over_any_column_of_odd_tables(spark):
+    from rulebeam.operators.validate import validate_labels_on_rows
+    rows = spark.createDataFrame([(1, 7, 1.5, "x=y AND z"), (0, 7, None, None), (None, 8, 1.5, "b")],
+                                 "is_fraud int, h int, `a b` double, s string")
+    labels = spark.createDataFrame([(1, "h=07 AND a b=1.50"), (2, "is_fraud=1"), (3, "s=b AND h=8"), (4, "h=9"),
+                                    (5, ""), (6, None), (7, "h=7 AND h=7"), (7, "a b=zz")], "pattern_id int, pattern_name string")
+    r = [(x.pattern_id, x.valid, x.reason, x.pattern_total) for x in
+         validate_labels_on_rows(labels.where("pattern_id < 7"), rows, event_spec()).orderBy("pattern_id").collect()]
+    assert r == [(1, True, None, 1), (2, True, None, 1), (3, True, None, 1), (4, False, NO_MATCH, None),
+                 (5, False, "Invalid pattern part: ", None), (6, False, "No pattern label", None)]
+    assert validate_labels_on_rows(labels.limit(0), rows, event_spec()).count() == 0
+
+
+def test_labels_sharing_a_frequent_item_meet_few_cells(spark):
+    """Thousands of labels that start with the same item join on their rarest one."""
+    from rulebeam.operators.mine import match_rarest_item
+    from dataclasses import replace
+    cells = spark.range(4000).selectExpr("'F' AS gender", "CAST(id AS STRING) AS who", "1L AS n", "0L AS p")
+    labels = spark.range(3000).selectExpr(
+        "CAST(id AS INT) AS rank", "array(named_struct('feature', 'gender', 'value', 'F'), "
+        "named_struct('feature', 'who', 'value', CAST(id AS STRING))) AS items")
+    spec = replace(event_spec(), features=("gender", "who"))
+    assert match_rarest_item(cells, spec, labels).count() == 3000
+
+
+def test_support_of_levels_beyond_the_configured_ones(spark):
+    df = spark.createDataFrame([(0.0001, 0.5, 9.0), (0.0005, 0.5, 9.0)], "support double, confidence double, lift double")
+    assert apply_thresholds(df, event_spec(), 5).count() == 1
+
+
+def test_empty_test_split_gives_zero_metrics(spark):
+    from rulebeam.plans.mining import MiningRun
+    r = MiningRun(txn(spark, SF001).where("split = 'train'"), event_spec())
+    kpis = {x.metric: x.value for x in r.summary().collect()}
+    assert len(kpis) == 8 and None not in kpis.values() and kpis["Total_Test_Transactions"] == 0.0
+    none = MiningRun(txn(spark, SF001).limit(0), event_spec())
+    assert [x.value for x in none.summary().collect()] == [0.0] * 8
+
+
+def test_streaming_reads_a_folder_of_files(spark, tmp_path):
+    from rulebeam.sources.transactions import read_table
+    from rulebeam.streaming.cells import stream_cells_once
+    spec = event_spec()
+    read_table(spark, SF001, "events").repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    s = stream_cells_once(spark, str(tmp_path), spec)
+    b = build_cells(txn(spark, SF001), spec, by=["split"])
+    assert sorted(map(tuple, s.select(*b.columns).collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_report_on_every_output_form(spark, run01, tmp_path):
+    from rulebeam.plans.reporting import report
+    from rulebeam.sinks import writers as K
+    base = str(tmp_path / "csv")
+    K.write_patterns(run01.patterns, base, "20240101_000000", 15)
+    want = [tuple(r) for r in report(spark, base, "now").patterns.orderBy("rank").collect()]
+    assert len(want) == 15
+    pq = str(tmp_path / "pq")
+    K.write_patterns(run01.patterns, pq, "20240101_000000", 15, fmt="parquet")
+    assert [tuple(r) for r in report(spark, pq, "now", fmt="parquet").patterns.orderBy("rank").collect()] == want
+    shaped = K.to_export_shape(run01.top)
+    swapped = str(tmp_path / "swapped")
+    K.write_result(shaped.select(*reversed(shaped.columns)), swapped, "top", "20240101_000000")
+    assert [tuple(r) for r in report(spark, swapped, "now").patterns.orderBy("rank").collect()] == want
+    rate = str(tmp_path / "rate")  # P24: the rate column stands in for a missing confidence
+    K.write_result(shaped.drop("Confidence"), rate, "top", "20240101_000000")
+    got = report(spark, rate, "now")
+    assert [r.confidence for r in got.patterns.orderBy("rank").collect()] == [
+        r.Fraud_Rate_Percent for r in shaped.orderBy("Rank").collect()]
+    assert got.text.count() == 9 + 15
+    count = str(tmp_path / "count")  # C9, and a table that is no pattern data is passed over
+    K.write_result(shaped.drop("Confidence", "Fraud_Rate_Percent"), count, "all", "20240101_000000")
+    K.write_result(spark.createDataFrame([(1,)], "x int"), count, "top", "20240101_000000")
+    only = report(spark, count, "now")
+    assert only.top_patterns is None and only.text is None and only.summary.collect()[0].n_patterns == 15
+    broken = str(tmp_path / "broken")
+    K.write_result(shaped.withColumn("Rank", F.lit("x")), broken, "top", "20240101_000000")
+    with pytest.raises(ValueError, match="rows without rank"):
+        report(spark, broken, "now")
 
 
 def test_thresholds_inclusive(spark):
@@ -169,7 +255,7 @@ def test_streaming_cells_incremental_restart(spark, tmp_path):
     """Two file batches, the query stopped and restarted on the same
     checkpoint: the published cells equal the batch cells of all rows."""
     from rulebeam.sources.transactions import read_table
-    from rulebeam.streaming.cells import stream_cells
+    from rulebeam.streaming.cells import read_cells, stream_cells
     spec = event_spec()
     src, out, state = str(tmp_path / "in"), str(tmp_path / "cells"), str(tmp_path / "state")
     import glob
@@ -185,13 +271,13 @@ def test_streaming_cells_incremental_restart(spark, tmp_path):
             shutil.copy(f, f"{src}/{name}-{i}.parquet")
 
     land(0, "a")
-    q = stream_cells(spark, src, spec, out, state, file_glob="*.parquet", schema=events.schema)
+    q = stream_cells(spark, src, spec, out, state, path_glob="*.parquet", schema=events.schema)
     q.awaitTermination()
-    first = spark.read.parquet(out).agg(F.sum("n")).first()[0]
+    first = read_cells(spark, out).agg(F.sum("n")).first()[0]
     land(1, "b")
-    q = stream_cells(spark, src, spec, out, state, file_glob="*.parquet", schema=events.schema)
+    q = stream_cells(spark, src, spec, out, state, path_glob="*.parquet", schema=events.schema)
     q.awaitTermination()
-    s = spark.read.parquet(out)
+    s = read_cells(spark, out)
     b = build_cells(txn(spark, SF001), spec, by=["split"])
     assert first < b.agg(F.sum("n")).first()[0]
     assert sorted(map(tuple, s.select(*b.columns).collect())) == sorted(map(tuple, b.collect()))
