@@ -74,8 +74,22 @@ def item_domain(cells: DataFrame, spec: PatternSpec, level: int) -> DataFrame:
 def all_domains(cells: DataFrame, spec: PatternSpec) -> DataFrame:
     """Candidate domains of every distinct domain level, tagged ``level``."""
     levels = sorted({spec.domain_level(k) for k in range(2, spec.max_len + 1)})
-    out = None
-    for lv in levels:
-        d = item_domain(cells, spec, lv).withColumn("level", F.lit(lv))
-        out = d if out is None else out.unionByName(d)
+    fidx = {f: i for i, f in enumerate(spec.features)}
+    fixed = {lv: spec.fixed_domain(lv) for lv in levels}
+    out = literal_table(cells.sparkSession, [(f, fidx[f], v, r + 1, lv) for lv in levels for f in spec.features
+                                             if f in fixed[lv] for r, v in enumerate(fixed[lv][f])],
+                        f"{DOMAIN_SCHEMA}, level int")
+    # Features without a fixed list at some level are counted and ranked once for all levels.
+    open_at = {f: [lv for lv in levels if f not in fixed[lv]] for f in spec.features}
+    ranked = [f for f in spec.features if open_at[f]]
+    if ranked:
+        top = top_values(cells, ranked, max(spec.top_k(lv) for lv in levels))
+        keys = F.create_map(*[x for f in ranked for x in (F.lit(f), F.struct(
+            F.lit(fidx[f]).alias("fidx"),
+            F.array(*[F.struct(F.lit(lv).alias("level"), F.lit(spec.top_k(lv)).alias("k"))
+                      for lv in open_at[f]]).alias("levels")))])
+        each = top.withColumn("_key", keys[F.col("feature")]).withColumn("_level", F.explode("_key.levels"))
+        out = out.unionByName(each.where("value_rank <= _level.k").select(
+            "feature", F.col("_key.fidx").alias("fidx"), "value", F.col("value_rank").cast("int").alias("vrank"),
+            F.col("_level.level").alias("level")))
     return out

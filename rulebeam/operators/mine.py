@@ -27,7 +27,7 @@ from ..functions.items import cell_items, itemset_key, pattern_label, pattern_ty
 from ..functions.metrics import with_rule_metrics
 from ..session import materialize
 from ..spec import PatternSpec
-from .cells import total_columns
+from .cells import totals
 from .domain import all_domains, item_domain, value_counts
 
 GEN_KEYS = ("g1", "g2", "g3", "g4")
@@ -193,7 +193,9 @@ def mine(cells: DataFrame, spec: PatternSpec, workdir: str | None = None) -> Dat
     Returns pattern_name, items, level, pattern_total, pattern_fraud,
     support, confidence, lift, score, level_rank, rank, pattern_type.
     """
-    n_total, p_total = total_columns(cells)
+    # Two numbers, read once; every level uses them as constants.
+    sums = totals(cells).first()
+    n_total, p_total = (F.lit(int(x or 0)).cast("bigint") for x in (sums["n_total"], sums["p_total"]))
     domains = materialize(all_domains(cells, spec), "domains", base=workdir)
 
     def domain(k):

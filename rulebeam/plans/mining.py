@@ -61,7 +61,8 @@ class MiningRun:
     @cached_property
     def validated(self) -> DataFrame:
         top = top_n(self.patterns, self.spec.validate_n)  # at most validate_n rows: broadcast
-        return stability(validate(top, self.test_cells, self.spec, bounded=True), self.spec)
+        done = stability(validate(top, self.test_cells, self.spec, bounded=True), self.spec)
+        return materialize(done, "validated", base=self.workdir)
 
     def summary(self, run_id: str | None = None) -> DataFrame:
         comp = composition(self.train_cells)
