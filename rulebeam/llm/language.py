@@ -5,9 +5,10 @@ Subwords are the 3- and 4-byte runs of a lower-cased word and its borders, hashe
 to ``BUCKETS`` rows of an embedding table. A text's vector is the mean of its
 subwords' embeddings; a linear layer and softmax give a probability per language.
 
-Fit: at most about ``PER_LANGUAGE`` labelled rows per language, taken by a hash of
-doc_id over the whole table (never by position), whole texts. Their subword counts (at most
-BUCKETS numbers a row) are made on the executors; the driver trains on these. Every fifth
+Fit: about ``SAMPLE`` labelled rows in all, as many of each language (all of a rarer one, and
+``LEAST`` at least), taken by a hash of doc_id over the whole table (never by
+position), whole texts. Their subword counts (at most BUCKETS numbers a row) are made on the
+executors; the driver trains on these. Every fifth
 row of the sample is kept out of training and fixes two numbers: the temperature that
 makes the probabilities fit, and the rejection threshold, below which ``REJECT_SHARE``
 of these rows of known languages lie (0.5 at most).
@@ -33,7 +34,7 @@ from .common import fresh_name, read_table, text_slices
 BUCKETS_BITS = 15
 BUCKETS = 1 << BUCKETS_BITS
 DIMENSION = 16
-PER_LANGUAGE = 1500
+SAMPLE, LEAST = 6000, 50
 EPOCHS = 6
 RATE = 0.5
 REJECT_SHARE = 0.001
@@ -149,7 +150,7 @@ def _held_out() -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
 
 
-def fit_language(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
+def fit_language(docs: DataFrame, sample_rows: int = SAMPLE) -> LanguageModel:
     """Learn from rows of ``docs`` (doc_id, text, lang) that are not held out."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.col("lang").cast("string").alias("lang")).where("lang IS NOT NULL AND text IS NOT NULL")
@@ -158,6 +159,7 @@ def fit_language(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageM
     sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return LanguageModel()
+    per_language = max(LEAST, sample_rows // len(sizes))
     share = F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, per_language / n)])
     spread = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("language sample")), 11) / F.lit(float(1 << 53))
     sample = (rows.withColumn("spread", spread).where(F.col("spread") < F.try_element_at(share, F.col("lang")))
