@@ -187,8 +187,8 @@ def rank_all(patterns: DataFrame) -> DataFrame:
 def mine(cells: DataFrame, spec: PatternSpec, workdir: str | None = None) -> DataFrame:
     """M4: levels 2..max_len, merged and ranked.
 
-    ``cells`` is the training cell table without split columns; the domains
-    and finished levels are written under ``workdir`` (default: a new folder
+    ``cells`` is the training cell table without split columns; values that are no candidate
+    at any level are folded first. The domains, the folded cells and finished levels are written under ``workdir`` (default: a new folder
     in the checkpoint folder).
     Returns pattern_name, items, level, pattern_total, pattern_fraud,
     support, confidence, lift, score, level_rank, rank, pattern_type.
@@ -198,6 +198,12 @@ def mine(cells: DataFrame, spec: PatternSpec, workdir: str | None = None) -> Dat
     n_total, p_total = (F.lit(int(x or 0)).cast("bigint") for x in (sums["n_total"], sums["p_total"]))
     domains = materialize(all_domains(cells, spec), "domains", base=workdir)
 
+    # The candidate lists are bounded by the spec.
+    values: dict[str, list[str]] = {}
+    for r in domains.select("feature", "value").distinct().collect():
+        values.setdefault(r["feature"], []).append(r["value"])
+    cells = materialize(fold_cells(cells, spec, values), "folded", base=workdir)
+
     def domain(k):
         return domains.filter(F.col("level") == spec.domain_level(k)).drop("level")
 
@@ -218,6 +224,15 @@ def mine(cells: DataFrame, spec: PatternSpec, workdir: str | None = None) -> Dat
                          "level_rank", "rank", pattern_type(F.col("items")).alias("pattern_type"))
 
 
+def fold_cells(cells: DataFrame, spec: PatternSpec, values: dict[str, list[str]]) -> DataFrame:
+    """Cells with every value outside ``values`` set to null (never a candidate) and added up
+    again. The result is bounded by the candidate lists, also where a feature has as many
+    values as there are rows."""
+    keep = [F.when(F.col(quoted(f)).isin(values.get(f, [])), F.col(quoted(f))).alias(f) for f in spec.features]
+    return (cells.select(*keep, "n", "p").groupBy(*[quoted(f) for f in spec.features])
+            .agg(F.sum("n").alias("n"), F.sum("p").alias("p")))
+
+
 def top_n(patterns: DataFrame, n: int) -> DataFrame:
     """The first ``n`` patterns by rank."""
     return patterns.filter(F.col("rank") <= n)

@@ -108,6 +108,7 @@ class Binding:
 
 
 EVENTS = Binding(TXN, S.MINING_FEATURES, S.EVENT_DOMAINS, "is_fraud", "event_id")
+WIDE = Binding(TXN, S.WIDE_FEATURES, S.EVENT_DOMAINS, "is_fraud", "event_id")
 ORDER_LINES = Binding(LINEITEM, S.LINEITEM_FEATURES, {}, "is_returned", "row_id")
 
 
@@ -512,6 +513,8 @@ FROM allp""", *mine),
         "chart_total_only": q("SELECT count(*) AS n_patterns FROM allp", *mine),
         "streaming_cells": None,
     })
+    wide = mining_ctes(b=WIDE)
+    out["wide_patterns_ranked"] = q(f"SELECT {PATTERN_COLS}, rank, pattern_type FROM allp", *wide, b=WIDE)
     li = mining_ctes(b=ORDER_LINES)
     li_val = [*li, *test_metrics_ctes(S.VALIDATE_N, ORDER_LINES)]
     out.update({

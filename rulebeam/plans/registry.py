@@ -220,6 +220,11 @@ def q_patterns_ranked(spark, sf):
     return run(spark, sf).patterns.select(*PATTERN_OUT, "rank", "pattern_type")
 
 
+def q_wide_patterns_ranked(spark, sf):
+    """Mining with a feature of about one value per customer."""
+    return run(spark, sf, features=S.WIDE_FEATURES).patterns.select(*PATTERN_OUT, "rank", "pattern_type")
+
+
 def q_patterns_top15(spark, sf):
     r = run(spark, sf)
     return K.to_export_shape(r.top)
@@ -442,6 +447,7 @@ def all_queries() -> dict[str, Query]:
         "extend_l3": _extend(3),
         "extend_l4": _extend(4),
         "patterns_ranked": q_patterns_ranked,
+        "wide_patterns_ranked": q_wide_patterns_ranked,
         "patterns_top15": q_patterns_top15,
         "min_lift": q_min_lift,
         "pattern_metrics_given": q_pattern_metrics_given,

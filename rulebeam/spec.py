@@ -169,6 +169,9 @@ class PatternSpec:
         return replace(self, **kw)
 
 
+# Binding with a wide feature (birth date: about one value per customer).
+WIDE_FEATURES = ("category", "time_period", "amt_category", "distance_category", "gender", "dob")
+
 # Order-line binding (lineitem x orders x customer x part): our own bands.
 LINEITEM_FEATURES = (
     "order_priority", "segment", "part_class", "line_status",

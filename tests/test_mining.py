@@ -1,5 +1,6 @@
 """Mining: golden values, brute-force equality of the beam, properties."""
 
+import os
 from collections import Counter
 from itertools import combinations
 
@@ -221,3 +222,15 @@ def test_pairs_agree_with_fpgrowth(spark):
     assert set(got) == set(ours)
     for k, (c, l) in ours.items():
         assert abs(got[k][0] - c) < 1e-12 and abs(got[k][1] - l) < 1e-9
+
+
+def test_wide_feature_cells_are_bounded_by_the_domain(spark):
+    """Birth date has about one value per customer; what is paired is bounded by the candidates."""
+    r = run(spark, SF01, features=S.WIDE_FEATURES)
+    assert r.patterns.count() > 0
+    folded = next(p for p in os.listdir(r.workdir.replace("file:", "")) if p.startswith("folded"))
+    paired, cells = spark.read.parquet(f"{r.workdir}/{folded}"), r.train_cells
+    assert paired.select("dob").distinct().count() <= r.spec.top_k(2) + 1 < cells.select("dob").distinct().count()
+    assert paired.count() < cells.count() / 2
+    assert paired.agg(F.sum("n"), F.sum("p")).first() == cells.agg(F.sum("n"), F.sum("p")).first()
+    r.release()
