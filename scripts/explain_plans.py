@@ -30,9 +30,9 @@ NOTES = {
                            "broadcast threshold, so they are broadcast hash joins and the map side is one stage. "
                            "On large inputs they plan as sort-merge joins (AQE splits skewed keys).",
     "level 2 (pairs)": "Reads the written cell table (train filter pushed to the scan). The 28 pairs per "
-                       "cell are generated in-row, the spec-bounded domain is broadcast once and probed "
-                       "twice, counts are partially aggregated before the shuffle. The rank window runs on "
-                       "the pattern table only.",
+                       "cell are generated in-row, the spec-bounded domain is broadcast for each side of "
+                       "the pair, counts are partially aggregated before the shuffle. The rank window runs on "
+                       "the pattern table only. (A mining run reads the folded cells instead.)",
     "level 3 (extension)": "Bases (at most `beam` rows) are broadcast and hash-joined on their first item; "
                            "containment is a filter; new items join the broadcast domain. No nested-loop join.",
     "validation (top 10 on test cells)": "Top-N broadcast, the same first-item hash join, then a left join "
