@@ -9,7 +9,11 @@ share of text outside links. The container with most points is the article; its
 siblings join it when they have enough points themselves or are
 paragraphs of plain text. Navigation, headers and footers of the page, asides, forms,
 scripts, styles and elements named as adverts, notices, sidebars, menus or
-comments are taken out first.
+comments are taken out first; but not an element with a name of its own that names the
+article (``class="post no-comments"``, unlike ``post-comments``), nor one that holds the page's <article> or
+<main>, nor, where nothing outside it is marked as the article, one that holds most of the paragraph
+points. These go by their points. Lists of links outside the article are left out; those in an
+<article> or <main>, or between paragraphs, belong to it.
 
 The text: character references decoded, white space inside a block squeezed to one
 space and trimmed, blocks in page order joined by a line feed. Nothing is cut.
@@ -64,10 +68,11 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "names", "hidden", "kids", "up", "points", "size", "linked", "links")
+    __slots__ = ("tag", "names", "hidden", "likely", "kids", "up", "points", "size", "linked", "links", "prose", "marks")
 
-    def __init__(self, tag, up=None, names=frozenset(), hidden=False):
-        self.tag, self.up, self.names, self.hidden = tag, up, names, hidden
+    def __init__(self, tag, up=None, names=frozenset(), hidden=False, likely=False):
+        self.tag, self.up, self.names, self.hidden, self.likely = tag, up, names, hidden, likely
+        self.prose = self.marks = 0  # paragraph points, and elements marked as the article
         self.kids: list = []  # Nodes and texts in page order
         self.points = 0.0
         self.size = self.linked = self.links = 0  # characters, those in links, links
@@ -92,8 +97,8 @@ def parse(page: str) -> Node:
             at = _close(at, tag)
             continue
         at = _make_room(at, tag)
-        names, hidden = _attributes(m[3]) if m[3] else (frozenset(), False)
-        node = Node(tag, at, names, hidden)
+        names, hidden, likely = _attributes(m[3]) if m[3] else (frozenset(), False, False)
+        node = Node(tag, at, names, hidden, likely)
         at.kids.append(node)
         if tag in RAW:
             stop = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(page, pos)
@@ -105,8 +110,13 @@ def parse(page: str) -> Node:
     return root
 
 
-def _attributes(raw: str) -> tuple[frozenset, bool]:
-    """The words of class, id and role, and whether the element is not shown."""
+def _words(names: str) -> frozenset:
+    return frozenset(w.lower() for w in _WORD.findall(names))
+
+
+def _attributes(raw: str) -> tuple[frozenset, bool, bool]:
+    """The words of class, id and role, whether the element is not shown, and whether one of its names
+    names the article and no other part."""
     names, hidden = [], False
     for m in _NAMES.finditer(raw):
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "")
@@ -116,7 +126,9 @@ def _attributes(raw: str) -> tuple[frozenset, bool]:
             hidden |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
         elif key == "hidden" or value.lower() == "true":
             hidden = True
-    return frozenset(w.lower() for w in _WORD.findall(" ".join(names))), hidden
+    words = _words(" ".join(names))
+    likely = bool(words & LIKELY) and any(w & LIKELY and not w & UNLIKELY for w in map(_words, " ".join(names).split()))
+    return words, hidden, likely
 
 
 def _close(at: Node, tag: str) -> Node:
@@ -153,13 +165,48 @@ def _make_room(at: Node, tag: str) -> Node:
     return at
 
 
-def _other_part(n: Node, in_article: bool) -> bool:
+def _marked(n: Node) -> bool:
+    return n.tag in ("article", "main") and not n.names & UNLIKELY or n.likely
+
+
+def _measure(root: Node) -> None:
+    """Paragraph points and marks of the article, of all elements that are shown."""
+    order, todo = [], [root]
+    while todo:
+        n = todo.pop()
+        order.append(n)
+        todo += [k for k in n.kids if isinstance(k, Node) and not k.hidden and k.tag not in DROP]
+    for n in reversed(order):
+        if n.tag in ("p", "pre", "blockquote"):
+            text = _own_text(n)
+            if text:
+                n.prose += 1 + text.count(",") + text.count("，") + min(len(text) // 100, 3)
+        n.marks += _marked(n)
+        if n.up is not None:
+            n.up.prose += n.prose
+            n.up.marks += n.marks
+
+
+def _holds_article(n: Node, in_article: bool, page: Node, above: int) -> bool:
+    """Whether an element with a name of another part is rather the article or around it; ``above``: marked
+    elements that it stands in."""
+    if n.likely:
+        return True
+    if in_article and n.names & {"comment", "comments"}:
+        return False
+    alone = page.marks == above + n.marks  # nothing outside is marked as the article
+    if alone and not in_article and n.marks and n.prose:
+        return True
+    return alone and 2 * n.prose > page.prose
+
+
+def _other_part(n: Node, in_article: bool, page: Node, above: int) -> bool:
     """Whether an element is by its tag or names no part of the article."""
     if n.hidden or n.tag in DROP:
         return True
     if n.tag in ("html", "body", "article", "main") or n.tag in HEADING:
         return n.tag == "article" and "comment" in n.names
-    if n.names & UNLIKELY:
+    if n.names & UNLIKELY and not _holds_article(n, in_article, page, above):
         return True
     page_header = n.tag == "header" or "header" in n.names
     return page_header and not in_article and not n.names & {"article", "entry", "post", "story"}
@@ -167,13 +214,14 @@ def _other_part(n: Node, in_article: bool) -> bool:
 
 def _prune(root: Node) -> None:
     """Take out what is no article, and count text and linked text."""
-    todo = [(root, False)]
+    _measure(root)
+    todo = [(root, False, 0)]
     order = []
     while todo:
-        n, in_article = todo.pop()
+        n, in_article, above = todo.pop()
         order.append(n)
-        n.kids = [k for k in n.kids if isinstance(k, str) or not _other_part(k, in_article)]
-        todo += [(k, in_article or k.tag in ("article", "main")) for k in n.kids if isinstance(k, Node)]
+        n.kids = [k for k in n.kids if isinstance(k, str) or not _other_part(k, in_article, root, above)]
+        todo += [(k, in_article or k.tag in ("article", "main"), above + _marked(k)) for k in n.kids if isinstance(k, Node)]
     for n in reversed(order):
         for k in n.kids:
             if isinstance(k, Node):
@@ -264,9 +312,20 @@ def _article(root: Node) -> list[Node]:
     return out
 
 
+def _paragraphs(top: Node) -> int:
+    n, todo = 0, [top]
+    while todo:
+        k = todo.pop()
+        n += k.tag in ("p", "pre", "blockquote") and k.size > 0
+        todo += [x for x in k.kids if isinstance(x, Node)]
+    return n
+
+
 def _blocks(nodes: list[Node]) -> list[str]:
     out: list[str] = []
     parts: list[str] = []
+    seen = 0  # paragraphs so far
+    every = sum(_paragraphs(top) for top in nodes)
 
     def flush():
         text = _SPACE.sub(" ", "".join(parts)).strip()
@@ -287,8 +346,9 @@ def _blocks(nodes: list[Node]) -> list[str]:
                 parts.append(" ")
             elif k.tag in BLOCK or k.tag == "#root":
                 flush()
-                if k is not top and _link_list(k):
+                if k is not top and top.tag not in ("article", "main") and not 0 < seen < every and _link_list(k):
                     continue
+                seen += k.tag in ("p", "pre", "blockquote") and k.size > 0
                 todo += [None, *reversed(k.kids)]
             else:
                 todo += reversed(k.kids)

@@ -59,6 +59,22 @@ def test_page_shapes(page, want):
     assert main_text(page) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    *[(f'<body><div id="top">{MENU}</div><div class="{names}"><h2>Title</h2>{BODY}</div>'
+       f'<div class="sidebar"><p>{P2}</p></div></body>', f"Title\n{TEXT}")
+      for names in ("content has-sidebar", "post no-comments", "page-with-menu", "entry share-enabled", "no-comments")],
+    (f'<body><div class="with-sidebar"><main><h1>Title</h1>{BODY}</main><div class="sidebar"><p>{P2}</p></div></div>'
+     f"</body>", f"Title\n{TEXT}"),
+    (f'<body><div class="post"><p>{P1}</p></div><div class="post-comments">{BODY}{BODY}</div></body>', P1),
+    (f'<article><p>{P1}</p><div class="comments">{BODY}</div></article>', P1),
+    (f"<article><p>{P1}</p>{MENU}</article>", f"{P1}\nOne\nTwo\nThree"),
+    (f"<body><div><p>{P1}</p><p>{P2}</p>{MENU}<p>{P3}</p></div></body>", f"{P1}\n{P2}\nOne\nTwo\nThree\n{P3}"),
+    (f"<body><div>{MENU}<p>{P1}</p><p>{P2}</p><p>{P3}</p></div></body>", TEXT),
+])
+def test_names_and_lists_of_links_do_not_take_the_article(page, want):
+    assert main_text(page) == want
+
+
 def test_edge_rows(spark):
     deep = "<div>" * 5000 + f"<p>{P1}</p>"
     long = "<article>" + "<p>word, word.</p>" * 100_000 + "</article>"
