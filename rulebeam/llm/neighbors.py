@@ -1,11 +1,14 @@
 """Approximate nearest neighbours by inner product: multiprobe p-stable hashing.
 
 The largest inner product becomes the smallest distance by one more dimension: rows are divided
-by the largest norm and filled up to norm 1, queries are normed. Each of ``TABLES`` tables
+by the largest norm of their range and filled up to norm 1, queries are normed. A range holds the rows
+of a chunk whose norms lie within a factor of ``RANGE``, so long vectors do not move the short ones
+away from the queries. A range of fewer than ``SCAN`` rows is compared in whole. Each of ``TABLES`` tables
 hashes a vector to ``HASHES`` numbers floor((a.x + b) / WIDTH) with Gaussian a. For a query,
 a table's perturbed buckets (each number kept or moved by one) are ordered by their
 estimated success, the sum of the squared distances to the borders crossed, and the best
-``PROBES`` are visited. The candidates of all tables are merged and
+``PROBES`` are visited; a query that has met fewer than k other ids in a chunk goes on to more
+buckets, and in the end to all rows of the chunk. The candidates of all tables are merged and
 reranked by the exact inner product of the original vectors in double precision.
 
 Spark deals the index rows into chunks of about ``CHUNK`` rows by a hash of the row, so equal or
@@ -38,6 +41,8 @@ from ..session import materialize
 from .common import read_table
 
 TABLES, HASHES, WIDTH, PROBES = 12, 6, 1.5, 72
+RANGE = 1.2
+SCAN = 512
 CHUNK = 16_384
 QUERY_BLOCK = 16_384
 K = 20
@@ -64,16 +69,12 @@ class ProbeTables:
     def codes(self, whole: np.ndarray) -> np.ndarray:
         return ((whole.astype(np.int64) & 63) * self.radix).sum(axis=-1)
 
-    def fill(self, x: np.ndarray) -> None:
-        """Index the rows of ``x``: per table its buckets and each row's bucket."""
+    def fill(self, x: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Index of the rows of ``x``: per table its buckets and each row's bucket."""
         codes = self.codes(np.floor(self.project(x)))
-        self.buckets, self.place = [], []
-        for t in range(codes.shape[1]):
-            known, at = np.unique(codes[:, t], return_inverse=True)
-            self.buckets.append(known)
-            self.place.append(at)
+        return [np.unique(codes[:, t], return_inverse=True) for t in range(codes.shape[1])]
 
-    def probe_codes(self, q: np.ndarray) -> np.ndarray:
+    def probe_codes(self, q: np.ndarray, probes: int | None = None) -> np.ndarray:
         """Queries x tables x probes: codes in order of estimated success."""
         f = self.project(q)
         home = np.floor(f)
@@ -83,19 +84,27 @@ class ProbeTables:
         total = np.zeros((*down.shape[:2], len(self.moves)))
         for h in range(which.shape[1]):
             total += cost[:, :, h, :][:, :, which[:, h]]
-        order = np.argsort(total, axis=-1, kind="stable")[:, :, :self.probes]
+        order = np.argsort(total, axis=-1, kind="stable")[:, :, :probes or self.probes]
         return self.codes(home[:, :, None, :] + self.moves[order])
 
-    def candidates(self, codes: np.ndarray) -> np.ndarray:
-        """Rows of the index in a probed bucket of any table (tables x probes)."""
-        met = np.zeros(len(self.place[0]), bool)
-        for t, known in enumerate(self.buckets):
+    @staticmethod
+    def candidates(filled: list[tuple[np.ndarray, np.ndarray]], codes: np.ndarray) -> np.ndarray:
+        """Which rows of an index are in a probed bucket of any table (tables x probes)."""
+        met = np.zeros(len(filled[0][1]), bool)
+        for t, (known, place) in enumerate(filled):
             at = np.searchsorted(known, codes[t])
             at[at == len(known)] = 0
             hit = np.zeros(len(known), bool)
             hit[at[known[at] == codes[t]]] = True
-            met |= hit[self.place[t]]
-        return np.flatnonzero(met)
+            met |= hit[place]
+        return met
+
+
+def _norms(x: np.ndarray) -> np.ndarray:
+    """Also of vectors whose squares are out of range."""
+    most = np.abs(x).max(axis=1)
+    y = x / most[:, None]
+    return most * np.sqrt((y * y).sum(axis=1))
 
 
 def _to_index(x: np.ndarray, norm: float) -> np.ndarray:
@@ -104,20 +113,50 @@ def _to_index(x: np.ndarray, norm: float) -> np.ndarray:
 
 
 def _to_query(x: np.ndarray) -> np.ndarray:
-    y = x / np.sqrt((x * x).sum(axis=1))[:, None]
+    y = x / _norms(x)[:, None]
     return np.concatenate([y, np.zeros((len(x), 1))], axis=1)
 
 
 class Chunk:
     """The index of one chunk."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray, norm: float, **tables):
+    def __init__(self, ids: np.ndarray, x: np.ndarray, scan: int = SCAN, **tables):
         self.ids, self.x, self.near = ids, x, x.astype(np.float32)
         self.unique = len(np.unique(ids)) == len(ids)
         self.tables = ProbeTables(x.shape[1] + 1, **tables)
-        self.tables.fill(_to_index(x, norm))
+        norms = _norms(x)
+        logs = np.log(norms)
+        part = np.floor((logs.max() - logs) / np.log(RANGE) + 1e-9).astype(np.int64)
+        self.whole = np.zeros(len(x), bool)  # rows of small ranges
+        self.ranges = []
+        for p in np.unique(part):
+            rows = np.flatnonzero(part == p)
+            if len(rows) < scan:
+                self.whole[rows] = True
+            else:
+                self.ranges.append((rows, self.tables.fill(_to_index(x[rows], norms[rows].max()))))
         self.scale = float(np.abs(x).max()) * x.shape[1]
 
+    def _met(self, codes: np.ndarray) -> np.ndarray:
+        """Rows of small ranges, and of the others those in a probed bucket."""
+        met = self.whole.copy()
+        for rows, filled in self.ranges:
+            met[rows] = self.tables.candidates(filled, codes)
+        return np.flatnonzero(met)
+
+    def _candidates(self, codes: np.ndarray, qi: int, v: np.ndarray, k: int) -> np.ndarray:
+        """Rows met by a query, of k other ids at least where the chunk has as many."""
+        probes = codes.shape[1]
+        while True:
+            rows = self._met(codes)
+            rows = rows[self.ids[rows] != qi]
+            if (len(rows) if self.unique else len(np.unique(self.ids[rows]))) >= k or not self.ranges:
+                return rows
+            if probes >= len(self.tables.moves):
+                return np.flatnonzero(self.ids != qi)
+            probes *= 4
+            codes = self.tables.probe_codes(_to_query(v[None]), probes)[0]
+
     def search(self, q_ids: np.ndarray, q: np.ndarray, k: int) -> list[tuple]:
         """(query_id, vec_id, score) of each query's k nearest candidates here."""
         out = []
@@ -125,8 +164,7 @@ class Chunk:
             codes = self.tables.probe_codes(_to_query(q[lo:lo + 128]))
             for i in range(len(codes)):
                 qi, v = q_ids[lo + i], q[lo + i]
-                rows = self.tables.candidates(codes[i])
-                rows = rows[self.ids[rows] != qi]
+                rows = self._candidates(codes[i], qi, v, k)
                 if len(rows) > k and self.unique:
                     # Single precision first, with a margin above its error; exact scores decide.
                     rough = np.einsum("nd,d->n", self.near[rows], v.astype(np.float32), optimize=False)
@@ -157,8 +195,7 @@ def nearest(index: DataFrame, queries: DataFrame, k: int = K, chunk: int = CHUNK
     Both are (vec_id, v, dim) as ``valid_vectors`` gives them."""
     rows = materialize(index, "vectors")
     asked = queries.groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
-    square = F.aggregate("v", F.lit(0.0), lambda s, c: s + c * c)
-    n_rows, norm = rows.agg(F.count("*"), F.max(F.sqrt(square))).first()
+    n_rows = rows.count()
     n_queries = asked.count()
     empty = rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if not n_rows or not n_queries:
@@ -196,7 +233,7 @@ def nearest(index: DataFrame, queries: DataFrame, k: int = K, chunk: int = CHUNK
                     continue
                 if held:
                     index = Chunk(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]),
-                                  norm, **tables)
+                                  **tables)
                     held = []
                 if index is not None:
                     found += index.search(ids, x, k)

@@ -3,7 +3,7 @@ import math
 import numpy as np
 from pyspark.sql import Row
 
-from rulebeam.llm.neighbors import K, ProbeTables, nearest, op2_nearest_neighbours, valid_vectors
+from rulebeam.llm.neighbors import K, Chunk, ProbeTables, nearest, op2_nearest_neighbours, valid_vectors
 
 SF001, SF01 = "/root/testdata/sf0.001", "/root/testdata/sf0.1"
 
@@ -82,6 +82,41 @@ def test_few_rows_equal_rows_and_none(spark):
     assert nearest(v.limit(0), v).count() == 0 and nearest(v, v.limit(0)).count() == 0
 
 
+def test_recall_on_vectors_of_uneven_norms(spark):
+    t = spark.read.parquet(f"{SF01}/embeddings.parquet").orderBy("vec_id").limit(2000).collect()
+    x = np.array([r.embedding for r in t], dtype=np.float64)
+    ids = np.arange(len(x))
+    rng = np.random.default_rng(9)
+    one = np.ones(len(x))
+    one[11] = 100.0
+    steps = np.where(ids % 3 == 0, 2.0, 1.0)  # two ranges that are large enough for tables
+    for scale in (one, rng.lognormal(size=len(x)), steps, 1 + 0.19 * rng.random(len(x))):
+        y = x * scale[:, None]
+        asked = ids[::20]
+        hits = 0
+        for i, (q, found, _) in zip(asked, Chunk(ids, y).search(asked, y[asked], K)):
+            s = y @ y[i]
+            s[i] = -np.inf
+            assert (q == i).all() and len(set(found.tolist())) == K
+            hits += len(set(np.argsort(-s)[:K].tolist()) & set(found.tolist()))
+        print(f"recall: {hits / (K * len(asked)):.3f}")
+        assert hits >= 0.9 * K * len(asked)
+
+
+def test_every_query_gets_k_rows_where_there_are_as_many(spark):
+    """Also from few rows, of a rare length, and where no probed bucket holds one."""
+    rng = np.random.default_rng(4)
+    for n in (2, 15, 21, 60):
+        x = rng.normal(size=(n, 64))
+        for scan in (0, 512):
+            for _, found, _ in Chunk(np.arange(n), x, scan=scan).search(np.arange(n), -x, K):
+                assert len(set(found.tolist())) == min(K, n - 1)
+    rows = [(i, rng.normal(size=64).tolist()) for i in range(15)] + [(100 + i, rng.normal(size=5).tolist()) for i in range(21)]
+    v = valid_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    got = results(nearest(v, v))
+    assert {q: [i for _, i, _ in f] for q, f in got.items()} == {q: [i for _, i in f] for q, f in brute(rows, rows).items()}
+
+
 def test_probes_come_in_order_of_estimated_success():
     rng = np.random.default_rng(2)
     tables = ProbeTables(5, tables=2, hashes=3, width=1.0, probes=27)
