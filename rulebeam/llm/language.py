@@ -6,8 +6,10 @@ to ``BUCKETS`` rows of an embedding table. A text's vector is the mean of its
 subwords' embeddings; a linear layer and softmax give a probability per language.
 
 Fit: about ``SAMPLE`` labelled rows in all, as many of each language (all of a rarer one, and
-``LEAST`` at least), taken by a hash of doc_id over the whole table (never by
-position), whole texts. Their subword counts (at most BUCKETS numbers a row) are made on the
+``LEAST`` at least), taken by a hash of doc_id and text over the whole table (never by
+position), whole texts. Rows of one doc_id and equal text are drawn together and collected once with their
+number; where these make more than twice the rows meant for a language, all its numbers are cut in
+proportion, to one at least. Their subword counts (at most BUCKETS numbers a row) are made on the
 executors; the driver trains on these. Every fifth
 row of the sample is kept out of training and fixes two numbers: the temperature that
 makes the probabilities fit, and the rejection threshold, below which ``REJECT_SHARE``
@@ -22,6 +24,7 @@ never held out; extra columns pass by unread.
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -150,6 +153,11 @@ def _held_out() -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
 
 
+def _spread() -> F.Column:
+    """A number from 0 to 1 by which a row is drawn."""
+    return F.shiftrightunsigned(F.xxhash64("doc_id", "text", F.lit("language sample")), 11) / F.lit(float(1 << 53))
+
+
 def fit_language(docs: DataFrame, sample_rows: int = SAMPLE) -> LanguageModel:
     """Learn from rows of ``docs`` (doc_id, text, lang) that are not held out."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
@@ -161,9 +169,8 @@ def fit_language(docs: DataFrame, sample_rows: int = SAMPLE) -> LanguageModel:
         return LanguageModel()
     per_language = max(LEAST, sample_rows // len(sizes))
     share = F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, per_language / n)])
-    spread = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("language sample")), 11) / F.lit(float(1 << 53))
-    sample = (rows.withColumn("spread", spread).where(F.col("spread") < F.try_element_at(share, F.col("lang")))
-              .select("spread", "lang", "text"))
+    sample = (rows.withColumn("spread", _spread()).where(F.col("spread") < F.try_element_at(share, F.col("lang")))
+              .groupBy("spread", "lang").agg(F.count("*").alias("copies"), F.min("text").alias("text")))
 
     def features(batches):
         for part, data, offs in text_slices(batches):
@@ -174,12 +181,21 @@ def fit_language(docs: DataFrame, sample_rows: int = SAMPLE) -> LanguageModel:
                 u, c = np.unique(both, return_counts=True)
                 ids.append(u.astype("<i4").tobytes() if ok[i] else b"")
                 cnt.append(c.astype("<i4").tobytes())
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(ids, pa.binary()),
-                                              pa.array(cnt, pa.binary())], names=["spread", "lang", "ids", "counts"])
-
-    got = sample.mapInArrow(features, "spread double, lang string, ids binary, counts binary").collect()
-    got = sorted(r for r in ((r.spread, r.lang, bytes(r.ids), bytes(r.counts)) for r in got) if r[2])
-    return train([(lang, np.frombuffer(a, "<i4"), np.frombuffer(c, "<i4").astype(float)) for _, lang, a, c in got])
+            yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(3)), pa.array(ids, pa.binary()),
+                                              pa.array(cnt, pa.binary())],
+                                             names=["spread", "lang", "copies", "ids", "counts"])
+
+    got = sample.mapInArrow(features, "spread double, lang string, copies long, ids binary, counts binary").collect()
+    got = sorted(r for r in ((r.spread, r.lang, bytes(r.ids), bytes(r.counts), r.copies) for r in got) if r[2])
+    drawn = Counter()
+    for _, lang, _, _, copies in got:
+        drawn[lang] += copies
+    learned = []
+    for _, lang, a, c, copies in got:
+        if drawn[lang] > 2 * per_language:
+            copies = max(1, copies * per_language // drawn[lang])
+        learned += [(lang, np.frombuffer(a, "<i4"), np.frombuffer(c, "<i4").astype(float))] * copies
+    return train(learned)
 
 
 def identify(docs: DataFrame, model: LanguageModel, keep: list[str] | None = None) -> DataFrame:

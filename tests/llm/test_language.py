@@ -87,3 +87,25 @@ def test_kept_columns_come_back_as_they_were(spark):
     model = fit_language(docs)
     back = identify(docs, model, keep=docs.columns)
     assert sorted(map(tuple, back.select(*docs.columns).collect())) == sorted(map(tuple, docs.collect()))
+
+
+def test_a_frequent_id_is_sampled_like_other_rows(spark, monkeypatch):
+    """A third of the rows under one doc_id, of different or of equal texts: the sample keeps its size."""
+    from pyspark.sql import functions as F
+
+    from rulebeam.llm import language
+
+    sizes = []
+    monkeypatch.setattr(language, "train", lambda rows: sizes.append(len(rows)))
+    ids = spark.range(1, 400).select(F.col("id").alias("doc_id"), F.lit("the same text").alias("text"))
+    ids = ids.where("crc32(cast(doc_id AS string)) % 5 <> 0")
+    old = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("language sample")), 11) / F.lit(float(1 << 53))
+    inside, outside = (ids.where(c).first().doc_id for c in (old < 0.05, old > 0.5))
+    copied = ids.where(language._spread() < 0.05).first().doc_id
+    base = spark.range(4000).select((F.col("id") + 1000).alias("doc_id"), F.concat(F.lit("some text "), "id").alias("text"))
+    for hot, text in ((inside, "concat('hot text ', id)"), (outside, "concat('hot text ', id)"), (None, "concat('hot text ', id)"),
+                      (copied, "'the same text'")):
+        more = spark.range(2000).select(F.lit(hot).cast("long").alias("doc_id"), F.expr(text).alias("text"))
+        language.fit_language(base.unionByName(more).withColumn("lang", F.lit("en")), sample_rows=300)
+    print(sizes)
+    assert all(220 <= n <= 400 for n in sizes[:3]) and 150 <= sizes[3] <= 600
