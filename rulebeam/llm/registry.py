@@ -7,9 +7,11 @@ from .html_text import op3_html_extraction
 from .language import op6_language_id
 from .licenses import op8_license_scan, op8_sql
 from .line_dedup import op1_line_dedup
+from .merkle import op12_merkle_manifest, op12_sql
 from .neighbors import op2_nearest_neighbours
 from .packing import op7_packing
 from .quality import op10_quality_classifier
+from .secret_scan import op11_secret_scan, op11_sql
 from .simhash import op9_simhash_near_dedup
 from .token_counts import op5_token_counts
 
@@ -28,6 +30,8 @@ def all_queries() -> dict:
         "op8_license_scan": op8_license_scan,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
         "op10_quality_classifier": op10_quality_classifier,
+        "op11_secret_scan": op11_secret_scan,
+        "op12_merkle_manifest": op12_merkle_manifest,
     }
 
 
@@ -37,4 +41,6 @@ def all_sql() -> dict[str, str]:
     return sql | {
         "op4_benchmark_decontamination": OP4_SQL,
         "op8_license_scan": op8_sql(),
+        "op11_secret_scan": op11_sql(),
+        "op12_merkle_manifest": op12_sql(),
     }
