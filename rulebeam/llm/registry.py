@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .conversation_repair import op13_conversation_repair, op13_sql
 from .decontaminate import OP4_SQL, op4_benchmark_decontamination
 from .html_text import op3_html_extraction
 from .language import op6_language_id
@@ -32,6 +33,7 @@ def all_queries() -> dict:
         "op10_quality_classifier": op10_quality_classifier,
         "op11_secret_scan": op11_secret_scan,
         "op12_merkle_manifest": op12_merkle_manifest,
+        "op13_conversation_repair": op13_conversation_repair,
     }
 
 
@@ -43,4 +45,5 @@ def all_sql() -> dict[str, str]:
         "op8_license_scan": op8_sql(),
         "op11_secret_scan": op11_sql(),
         "op12_merkle_manifest": op12_sql(),
+        "op13_conversation_repair": op13_sql(),
     }
