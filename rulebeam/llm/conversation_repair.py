@@ -304,23 +304,26 @@ def _conv() -> Column:
     return F.coalesce(F.col("conv_id").cast("string"), F.lit(" "))
 
 
-def place_rows(rows: DataFrame, scratch: str = "repair") -> DataFrame:
-    """``rows`` (conv_id, turn, role, text) with conv, pos, n, and the first fault of each: blank,
-    duplicate, truncated or ''."""
-    trimmed = F.rtrim(F.col("text"), F.lit(SPACE))
+def place_rows(rows: DataFrame, scratch: str = "repair") -> tuple[DataFrame, DataFrame]:
+    """``rows`` (conv_id, turn, role, text) as places and texts. Places: conv, turn, role, row, pos, n
+    and the first fault of each row (blank, duplicate, truncated or ''); texts: row, role, text. Only the places are sorted."""
     kept = rows.select(_conv().alias("conv"), "turn", F.coalesce(F.col("role").cast("string"), F.lit(" ")).alias("role"),
-                       F.coalesce(F.col("text").cast("string"), F.lit(" ")).alias("text"))
-    placed = materialize(number_rows(kept.withColumn("digest", F.sha2("text", 256)), "conv", ["turn", "role", "digest"], scratch),
-                         f"{scratch}-placed")
+                       F.coalesce(F.col("text").cast("string"), F.lit(" ")).alias("text"),
+                       F.monotonically_increasing_id().alias("row"))
+    texts = materialize(kept, f"{scratch}-texts")
+    last = F.substring(F.rtrim(F.col("text"), F.lit(SPACE)), -1, 1)
+    own = F.when(last == "", "blank").when(~last.isin(".", "!", "?"), "truncated").otherwise("")
+    slim = texts.select("conv", "turn", "role", "row", F.unhex(F.sha2("text", 256)).alias("digest"), own.alias("own"))
+    placed = materialize(number_rows(slim, "conv", ["turn", "role", "digest"], scratch), f"{scratch}-placed")
     # Where a role and text come first; places are unique, so the join back has no hot key.
     first = (placed.groupBy("conv", "role", "digest").agg(F.min("pos").alias("pos"))
              .select("conv", "pos", F.lit(True).alias("new")))
-    fault = (F.when(trimmed == "", "blank").when(F.col("new").isNull(), "duplicate")
-             .when(~F.substring(trimmed, -1, 1).isin(".", "!", "?"), "truncated").otherwise(""))
-    return placed.join(first, ["conv", "pos"], "left").withColumn("fault", fault).drop("new", "digest")
+    fault = F.when((F.col("own") != "blank") & F.col("new").isNull(), "duplicate").otherwise(F.col("own"))
+    placed = placed.join(first, ["conv", "pos"], "left").withColumn("fault", fault).drop("new", "own", "digest")
+    return placed, texts.select("row", "role", "text")
 
 
-def repaired_rows(placed: DataFrame, edits: DataFrame, block_bits: int = BLOCK_BITS) -> DataFrame:
+def repaired_rows(placed: DataFrame, texts: DataFrame, edits: DataFrame, block_bits: int = BLOCK_BITS) -> DataFrame:
     """(conv, pos, step, role, text) of the repaired conversations, in order of pos and step."""
     # The edits of one row: rows inserted before it, its own; after the last row of all, those at the end.
     runs = F.regexp_extract_all("edits", F.lit("[IJ]*[DKRS](?:[IJ]+$)?"), F.lit(0))
@@ -330,21 +333,23 @@ def repaired_rows(placed: DataFrame, edits: DataFrame, block_bits: int = BLOCK_B
         WHEN e = 'K' THEN struct(role, text) WHEN e = 'R' THEN struct('user' AS role, text)
         WHEN e = 'S' THEN struct('assistant' AS role, text) WHEN e = 'I' THEN struct('user' AS role, '' AS text)
         WHEN e = 'J' THEN struct('assistant' AS role, '' AS text) END), r -> r IS NOT NULL)""")
-    return (placed.select("conv", "pos", "role", "text").join(each, ["conv", "pos"])
+    runs = placed.select("conv", "pos", "row").join(each, ["conv", "pos"])
+    return (texts.join(runs, "row")
             .select("conv", "pos", F.posexplode(made).alias("step", "made")).select("conv", "pos", "step", "made.role", "made.text"))
 
 
 def repair(rows: DataFrame, block_bits: int = BLOCK_BITS, scratch: str = "repair") -> tuple[DataFrame, DataFrame]:
     """``rows`` (conv_id, turn, role, text) to a report per conversation (conv, gaps, blank,
     duplicate, truncated, illegal, cost, audit, repaired_sha256) and its repaired rows."""
-    placed = materialize(place_rows(rows, scratch), f"{scratch}-faults")
+    placed, texts = place_rows(rows, scratch)
+    placed = materialize(placed, f"{scratch}-faults")
     initial = F.substring("role", 1, 1)
     kind = F.when(initial == "s", 0).when(initial == "u", 1).when(initial == "a", 2).otherwise(3)
     state = F.when(F.col("fault").isin("blank", "duplicate"), 0).when(F.col("fault") == "truncated", 1).otherwise(2)
     symbol = F.substring(F.lit(LETTERS), kind * 3 + state + 1, F.lit(1))
     edits = materialize(rank_edits(placed.select("conv", "pos", "n", symbol.alias("symbol")), block_bits, scratch),
                         f"{scratch}-edits")
-    lines = repaired_rows(placed, edits, block_bits)
+    lines = repaired_rows(placed, texts, edits, block_bits)
     hashes = (lines.select("conv", F.concat_ws(":", "role", "text").alias("line"), "pos", "step").repartition("conv")
               .sortWithinPartitions("conv", "pos", "step").select("conv", "line")
               .mapInArrow(_line_hashes, "conv string, repaired_sha256 string"))
