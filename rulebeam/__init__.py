@@ -22,7 +22,8 @@ from .operators.profile import (compare_datasets, composition, dataset_shape, la
 from .operators.report import (confidence_drop, feature_importance, feature_matrix, pattern_counts,
                                pattern_labels, pattern_summary, pattern_type_counts, report_table,
                                run_summary, significance, summary_lines, temporal_profile, validation_long)
-from .operators.validate import funnel, pattern_metrics, stability, validate, validate_labels, validate_labels_on_rows
+from .operators.label_trie import funnel_counts, trie_counts
+from .operators.validate import funnel, label_report, pattern_metrics, stability, validate, validate_labels, validate_labels_on_rows
 from .plans.eda import profile
 from .plans.mining import MiningRun, export, run_from_files
 from .plans.reporting import report

@@ -30,10 +30,21 @@ def cell_items(features: Sequence[str]) -> Column:
                               F.col(quoted(f)).cast("string").alias("value")) for i, f in enumerate(features)])
 
 
+def escaped(text: Column, feature: bool = False) -> Column:
+    """``text`` as it stands in a label, so that ``parse_pattern_label`` reads it back. Text without the escape
+    sign, a word AND or a space at an end is left as it is."""
+    out = F.replace(text, F.lit(S.ESCAPE), F.lit(2 * S.ESCAPE))
+    if feature:
+        out = F.replace(out, F.lit(S.KV_SEP), F.lit(S.ESCAPE + S.KV_SEP))
+    word = S.ITEM_SEP.strip()
+    out = F.regexp_replace(out, rf"(^| ){word}(?= |\z)", rf"$1\\{word}")
+    return F.regexp_replace(F.regexp_replace(out, r" \z", r"\\ "), "^ ", r"\\ ")
+
+
 def pattern_label(items: Column) -> Column:
-    """``f=v AND f=v`` in item order."""
+    """``f=v AND f=v`` in item order, with the escapes of ``escaped``."""
     return F.array_join(
-        F.transform(items, lambda it: F.concat(it["feature"], F.lit(S.KV_SEP), it["value"])),
+        F.transform(items, lambda it: F.concat(escaped(it["feature"], True), F.lit(S.KV_SEP), escaped(it["value"]))),
         S.ITEM_SEP)
 
 
@@ -47,23 +58,51 @@ def itemset_key(items: Column) -> Column:
     return pattern_label(F.array_sort(items))
 
 
+# Signs of a label: an escaped sign, a separator, or any one character.
+_SIGNS = rf"(?s)\\(?:[\\{S.KV_SEP} ]|{S.ITEM_SEP.strip()}(?=[ \\{S.KV_SEP}]|\z))|{S.ITEM_SEP}|."
+
+
 def parse_pattern_label(label: Column) -> Column:
     """Label text -> struct(items, ok, reason).
 
-    Split on `` AND ``, then on the first ``=``, trimming both sides. A part
-    without ``=`` makes the pattern invalid with reason
-    ``Invalid pattern part: <part>``.
+    One state machine over the signs of the label: `` AND `` ends an item, the first ``=`` of an item
+    ends its feature, spaces around both are dropped unless escaped, an escaped sign
+    stands for itself. A part without ``=`` makes the pattern invalid with reason
+    ``Invalid pattern part: <part>``. A null label gives a struct of nulls.
     """
-    parts = F.split(label, S.ITEM_SEP, -1)
-    bad = F.filter(parts, lambda p: ~p.contains(S.KV_SEP))
-    items = F.transform(parts, lambda p: F.struct(
-        F.trim(F.substring_index(p, S.KV_SEP, 1)).alias("feature"),
-        F.trim(F.regexp_extract(p, r"^[^=]*=(.*)$", 1)).alias("value")))
-    ok = F.size(bad) == 0
-    return F.struct(
-        F.when(ok, items).alias("items"),
+    # text, kept: what the current feature or value holds, and its length without spaces at its end.
+    zero = F.struct(F.array().cast(ITEMS_TYPE).alias("items"), F.lit(None).cast("string").alias("bad"),
+                    F.lit(None).cast("string").alias("feature"), F.lit("").alias("text"), F.lit(0).alias("kept"),
+                    F.lit("").alias("raw"))
+
+    def state(**fields: Column) -> Column:
+        return F.struct(*[fields[f].alias(f) for f in ("items", "bad", "feature", "text", "kept", "raw")])
+
+    def closed(s: Column) -> Column:
+        """The state after the current item."""
+        item = F.struct(s["feature"].alias("feature"), F.substring(s["text"], F.lit(1), s["kept"]).alias("value"))
+        open_part = s["feature"].isNull()
+        return state(items=F.when(open_part, s["items"]).otherwise(F.concat(s["items"], F.array(item))),
+                     bad=F.when(open_part, F.coalesce(s["bad"], s["raw"])).otherwise(s["bad"]),
+                     feature=F.lit(None).cast("string"), text=F.lit(""), kept=F.lit(0), raw=F.lit(""))
+
+    def step(s: Column, sign: Column) -> Column:
+        raw = F.concat(s["raw"], sign)
+        named = state(items=s["items"], bad=s["bad"], feature=F.substring(s["text"], F.lit(1), s["kept"]),
+                      text=F.lit(""), kept=F.lit(0), raw=raw)
+        space = state(items=s["items"], bad=s["bad"], feature=s["feature"], kept=s["kept"], raw=raw,
+                      text=F.when(s["text"] == "", s["text"]).otherwise(F.concat(s["text"], sign)))
+        more = F.concat(s["text"], F.when(F.length(sign) > 1, F.substring(sign, F.lit(2), F.length(sign))).otherwise(sign))
+        plain = state(items=s["items"], bad=s["bad"], feature=s["feature"], text=more, kept=F.length(more), raw=raw)
+        return (F.when(sign == S.ITEM_SEP, closed(s)).when((sign == S.KV_SEP) & s["feature"].isNull(), named)
+                .when(sign == " ", space).otherwise(plain))
+
+    found = F.aggregate(F.regexp_extract_all(label, F.lit(_SIGNS), F.lit(0)), zero, step, closed)
+    ok = found["bad"].isNull()
+    return F.when(label.isNotNull(), F.struct(
+        F.when(ok, found["items"]).alias("items"),
         ok.alias("ok"),
-        F.when(~ok, F.concat(F.lit(S.REASON_BAD_PART), F.element_at(bad, 1))).alias("reason"))
+        F.when(~ok, F.concat(F.lit(S.REASON_BAD_PART), found["bad"])).alias("reason")))
 
 
 def readable_label(label: Column, width: int = S.READABLE_WIDTH, keep: int = S.READABLE_KEEP) -> Column:

@@ -1,8 +1,8 @@
 """Re-measure patterns on another cell table.
 
-A pattern is evaluated by a hash join of the cells on its first item plus a
-containment test, then a group-by per pattern: no per-pattern jobs and no
-stepwise counts.
+A pattern table of ours is evaluated by a hash join of the cells on one item plus a
+containment test, then a group-by per pattern; funnels and imported labels walk a prefix trie
+(``label_trie``). No per-pattern jobs.
 """
 
 from __future__ import annotations
@@ -15,9 +15,12 @@ from pyspark.sql import functions as F
 from ..functions.items import parse_pattern_label
 from ..functions.metrics import rule_metrics
 from .. import spec as S
+from ..session import materialize
 from ..spec import PatternSpec
 from .cells import build_cells, total_columns
-from .mine import contains_all, match_first_item, match_patterns
+from .label_trie import funnel_counts
+from .mine import match_patterns
+from .profile import is_cells
 
 NO_MATCH = S.REASON_NO_MATCH
 
@@ -72,39 +75,27 @@ def stability(validated: DataFrame, spec: PatternSpec) -> DataFrame:
     })
 
 
-def validate_labels(labels: DataFrame, cells: DataFrame, spec: PatternSpec, key: str = "pattern_id",
-                    label_col: str = "pattern_name") -> DataFrame:
-    """M5 for imported label text: parse (P15), then measure. A malformed
-    label is invalid with the parse reason; a label matching nothing is
-    invalid with ``No matching transactions``."""
-    parsed = labels.withColumn("_parsed", parse_pattern_label(F.col(label_col)))
-    parsed = parsed.select(key, label_col, F.col("_parsed.items").alias("items"),
-                           F.col("_parsed.ok").alias("parsed_ok"), F.col("_parsed.reason").alias("parse_reason"))
-    met = pattern_metrics(cells, parsed.filter("parsed_ok"), spec, key)
-    out = parsed.join(met, key, "left")
-    valid = F.col("parsed_ok") & F.col("pattern_total").isNotNull()
-    return out.withColumns({
-        "valid": valid,
-        "reason": F.when(~F.col("parsed_ok"), F.col("parse_reason")).when(~valid, F.lit(NO_MATCH)),
-    }).drop("parsed_ok", "parse_reason")
-
-
-def validate_labels_on_rows(labels: DataFrame, rows: DataFrame, spec: PatternSpec, key: str = "pattern_id",
-                            label_col: str = "pattern_name") -> DataFrame:
-    """M5/P16 for imported label text over any column of ``rows``.
+def label_report(labels: DataFrame, rows: DataFrame, spec: PatternSpec, key: str = "pattern_id",
+                 label_col: str = "pattern_name") -> DataFrame:
+    """M5/F9/P16 for imported label text over any column of ``rows``: the key and the label, after (rows left
+    after each condition), pattern_total, pattern_fraud, support, confidence, lift, score, valid, reason.
 
     Values are compared in the column's own type (``hour=07`` is hour 7). The rows are aggregated
-    once by the columns that some label names. Invalid labels say why: a part
-    without ``=``, an unknown column, a value that is none of the column's type, no matching
-    row, or a null label.
+    once by the columns that some label names; the labels are a trie (``label_trie``), so their number is not limited and
+    a key may repeat. Invalid labels say why: a part without ``=``, an unknown column, a value that is none of the
+    column's type, no matching row, or a null label. ``rows`` may be a cell table: it is not aggregated again, its
+    columns are the mining features, as text, and any other column is unknown.
     """
     parsed = labels.withColumn("_parsed", parse_pattern_label(F.col(label_col)))
-    parsed = parsed.select(key, label_col, F.col("_parsed.items").alias("items"),
-                           F.coalesce(F.col("_parsed.ok"), F.lit(False)).alias("parsed_ok"),
-                           F.coalesce(F.col("_parsed.reason"), F.lit(S.REASON_NULL_LABEL)).alias("parse_reason"))
-    columns = [c for c in rows.columns if c != spec.label]
+    named_by = list(dict.fromkeys((key, label_col)))  # a label may be its own key
+    parsed = materialize(parsed.select(
+        *named_by, F.monotonically_increasing_id().alias("_row"), F.col("_parsed.items").alias("items"),
+        F.coalesce(F.col("_parsed.ok"), F.lit(False)).alias("parsed_ok"),
+        F.coalesce(F.col("_parsed.reason"), F.lit(S.REASON_NULL_LABEL)).alias("parse_reason")), "labels")
+    given = is_cells(rows)
+    columns = [c for c in rows.columns if c in spec.features] if given else rows.columns
     named = sorted(r[0] for r in parsed.where("parsed_ok").select(F.explode("items.feature")).distinct()
-                   .where(F.col("col").isin([*columns, spec.label])).collect())  # at most the columns of rows
+                   .where(F.col("col").isin(columns)).collect())  # at most the columns of rows
     types = {f.name: f.dataType for f in rows.schema.fields}
 
     def typed(it):
@@ -120,29 +111,38 @@ def validate_labels_on_rows(labels: DataFrame, rows: DataFrame, spec: PatternSpe
             F.when(it["feature"].isin(named), F.concat(F.lit("malformed value "), it["value"]))
             .otherwise(F.concat(F.lit("unknown column "), it["feature"])))))
     items = items.withColumn("wrong", F.get(F.filter(wrong, lambda w: w.isNotNull()), F.lit(0)))
-    known = items.where("parsed_ok AND wrong IS NULL").select(key, F.col("typed").alias("items"))
-    plain = rows.withColumn("_label", F.col(spec.label))  # the label may be a named column too
+    known = items.where("parsed_ok AND wrong IS NULL").select("_row", F.col("typed").alias("items"))
     over = replace(spec, features=tuple(named or columns[:1]), label="_label")
-    met = pattern_metrics(build_cells(plain, over), known, over, key)
-    out = items.join(met, key, "left")
-    return out.select(key, label_col, "pattern_total", "pattern_fraud", "support", "confidence", "lift", "score",
-                      F.col("pattern_total").isNotNull().alias("valid"),
+    if not given:  # the label may be a named column too
+        rows = materialize(build_cells(rows.withColumn("_label", F.col(spec.label)), over), "label-cells")
+    cells = rows
+    n_total, p_total = total_columns(cells)
+    found = funnel_counts(cells, over, known, "_row").withColumns(
+        {"pattern_total": F.when(F.col("n") > 0, F.col("n")), "pattern_fraud": F.when(F.col("n") > 0, F.col("p"))})
+    met = rule_metrics(F.col("pattern_total"), F.col("pattern_fraud"), n_total, p_total)
+    matched = F.col("pattern_total").isNotNull()
+    found = found.withColumns({k: F.when(matched, met[k]) for k in ("support", "confidence", "lift", "score")})
+    out = items.join(found, "_row", "left")
+    return out.select(*named_by, "after", "pattern_total", "pattern_fraud", "support", "confidence", "lift", "score",
+                      matched.alias("valid"),
                       F.when(~F.col("parsed_ok"), F.col("parse_reason")).when(F.col("wrong").isNotNull(), F.col("wrong"))
-                      .when(F.col("pattern_total").isNull(), F.lit(NO_MATCH)).alias("reason"))
+                      .when(~matched, F.lit(NO_MATCH)).alias("reason"))
+
+
+def validate_labels(labels: DataFrame, rows: DataFrame, spec: PatternSpec, key: str = "pattern_id",
+                    label_col: str = "pattern_name") -> DataFrame:
+    """M5 for imported label text: ``label_report`` without the funnel."""
+    return label_report(labels, rows, spec, key, label_col).drop("after")
+
+
+validate_labels_on_rows = validate_labels  # the earlier name
 
 
-def funnel(cells: DataFrame, patterns: DataFrame, spec: PatternSpec, key: str = "rank",
-           bounded: bool = False) -> DataFrame:
+def funnel(cells: DataFrame, patterns: DataFrame, spec: PatternSpec, key: str = "rank") -> DataFrame:
     """rows left after each successive item condition, for every pattern
-    in one pass: ``after_k`` = rows matching the first k items (null where the
-    pattern has fewer than k items)."""
-    m = match_first_item(cells, spec, patterns.select(key, "items"), bounded=bounded)
-    steps = {}
-    for k in range(1, spec.max_len + 1):
-        prefix_ok = contains_all(F.col("cell"), F.slice("items", 1, k))
-        steps[f"after_{k}"] = F.sum(F.when((F.size("items") >= k) & prefix_ok, F.col("n")).otherwise(0))
-    g = m.groupBy(key).agg(*[v.alias(k) for k, v in steps.items()])
-    out = patterns.select(key, "pattern_name", "items").join(g, key, "left")
-    return out.select(key, "pattern_name", *[
-        F.when(F.size("items") >= k, F.coalesce(F.col(f"after_{k}"), F.lit(0)).cast("bigint")).alias(f"after_{k}")
-        for k in range(1, spec.max_len + 1)])
+    in one walk of their trie: ``after_k`` = rows matching the first k items (null where the
+    pattern has fewer than k items). ``key`` names a pattern."""
+    found = funnel_counts(cells, spec, patterns.select(key, "items"), key).select(key, "after")
+    out = patterns.select(key, "pattern_name").join(found, key, "left")
+    return out.select(key, "pattern_name", *[F.get("after", F.lit(k - 1)).cast("bigint").alias(f"after_{k}")
+                                             for k in range(1, spec.max_len + 1)])

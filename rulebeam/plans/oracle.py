@@ -8,7 +8,7 @@ plan rather than repeat it.
 from __future__ import annotations
 
 from .. import spec as S
-from .registry import ANY_COLUMN_PATTERNS, FIXED_RUN_ID, GIVEN_PATTERNS
+from .registry import ANY_COLUMN_PATTERNS, AWKWARD_VALUES, FIXED_RUN_ID, GIVEN_PATTERNS, TRIE_FEATURES
 
 FEATS = S.MINING_FEATURES
 DOMAINS = S.EVENT_DOMAINS
@@ -288,25 +288,9 @@ def rate_long_sql(features, src: str = "train") -> str:
 FROM ({union}) x GROUP BY feature, value""")
 
 
-def given_pattern_sql() -> str:
+def label_sql(labels) -> str:
     rows = []
-    for i, text in enumerate(GIVEN_PATTERNS):
-        parts = text.split(S.ITEM_SEP)
-        bad = [p for p in parts if S.KV_SEP not in p]
-        if bad:
-            rows.append(f"SELECT {i + 1} AS pattern_id, {sql_str(text)} AS pattern_name, false AS ok, "
-                        f"{sql_str('Invalid pattern part: ' + bad[0])} AS why, 0::BIGINT AS n, 0::BIGINT AS p")
-            continue
-        conds = " AND ".join(f"CAST({p.split('=', 1)[0].strip()} AS VARCHAR) = {sql_str(p.split('=', 1)[1].strip())}"
-                             for p in parts)
-        rows.append(f"SELECT {i + 1} AS pattern_id, {sql_str(text)} AS pattern_name, true AS ok, NULL AS why, "
-                    f"count(*) AS n, count(*) FILTER (WHERE is_fraud = 1) AS p FROM train WHERE {conds}")
-    return measured_sql(rows)
-
-
-def any_column_sql() -> str:
-    rows = []
-    for i, (text, cond, why) in enumerate(ANY_COLUMN_PATTERNS):
+    for i, (text, cond, why) in enumerate(labels):
         head = f"SELECT {i + 1} AS pattern_id, {'CAST(NULL AS VARCHAR)' if text is None else sql_str(text)} AS pattern_name"
         if cond is None:
             rows.append(f"{head}, false AS ok, {sql_str(why)} AS why, 0::BIGINT AS n, 0::BIGINT AS p")
@@ -346,6 +330,38 @@ def measured_sql(rows: list[str]) -> str:
 FROM ({union}) g, tot""", TOT)
 
 
+def trie_sql() -> str:
+    """Every prefix of every label counted by itself over the test rows."""
+    f = TRIE_FEATURES
+    text = " || ' AND ' || ".join(f"'{c}=' || " + (f"lpad(CAST({c} AS VARCHAR), 2, '0')" if c == "hour" else f"CAST({c} AS VARCHAR)")
+                                  for c in f)
+    counts = ", ".join(f"c{k} AS (SELECT {', '.join(f[:k])}, count(*) AS n, count(*) FILTER (WHERE is_fraud = 1) AS p "
+                       f"FROM test GROUP BY ALL)" for k in range(1, len(f) + 1))
+    joins = " ".join(f"LEFT JOIN c{k} USING ({', '.join(f[:k])})" for k in range(1, len(f) + 1))
+    last = f"c{len(f)}"
+    left = "[" + ", ".join(f"coalesce(c{k}.n, 0)" for k in range(1, len(f) + 1)) + "]"
+    totals = "(SELECT count(*) AS n_total, count(*) FILTER (WHERE is_fraud = 1) AS p_total FROM test) tot"
+    score = (f"(({last}.p / {last}.n) / (tot.p_total / tot.n_total)) * ({last}.p / {last}.n) * ({last}.n / tot.n_total)")
+    return q(f"""SELECT pattern_name, unnest(range(1, {len(f) + 1}))::INTEGER AS step, unnest(after_all)::BIGINT AS rows_left, pattern_total,
+  pattern_fraud, score, valid, reason
+FROM (SELECT {text} AS pattern_name, {left} AS after_all, {last}.n AS pattern_total, {last}.p AS pattern_fraud,
+        CASE WHEN {last}.n > 0 THEN {score} END AS score, {last}.n IS NOT NULL AS valid,
+        CASE WHEN {last}.n IS NULL THEN 'No matching transactions' END AS reason
+      FROM (SELECT DISTINCT {', '.join(f)} FROM train) l {joins}, {totals})
+UNION ALL SELECT 'time_period=night AND merchant=' || category, NULL, NULL, NULL, NULL, NULL, false,
+  'Filter error on condition 2: unknown column merchant' FROM (SELECT DISTINCT category FROM train)
+UNION ALL SELECT 'time_period=night AND hour=' || category, NULL, NULL, NULL, NULL, NULL, false,
+  'Filter error on condition 2: malformed value ' || category FROM (SELECT DISTINCT category FROM train)""", counts)
+
+
+def awkward_binding() -> Binding:
+    """The events with categories that a label must escape, all of them ranked by count."""
+    cases = " ".join(f"WHEN {sql_str(a)} THEN {sql_str(b)}" for a, b in AWKWARD_VALUES)
+    base = TXN.replace("event_type AS category", f"CASE event_type {cases} END AS category")
+    domains = {k: {f: v for f, v in d.items() if f != "category"} for k, d in S.EVENT_DOMAINS.items()}
+    return Binding(base, S.MINING_FEATURES, domains, "is_fraud", "event_id")
+
+
 def null_profile_sql() -> str:
     parts = []
     for i, c in enumerate(ALL_COLUMNS):
@@ -425,8 +441,8 @@ GROUP BY fa, va, fb, vb""", long_form("train", "rl")),
 FROM allp WHERE rank <= {S.TOP_N}""", *mine),
         "min_lift": q(f"SELECT {PATTERN_COLS}, rank FROM allp",
                       *mining_ctes(min_lift=S.DOCUMENTED_MIN_LIFT)),
-        "pattern_metrics_given": given_pattern_sql(),
-        "pattern_metrics_any_column": any_column_sql(),
+        "pattern_metrics_given": label_sql(GIVEN_PATTERNS),
+        "pattern_metrics_any_column": label_sql(ANY_COLUMN_PATTERNS),
     })
     val = [*mine, *test_metrics_ctes(S.VALIDATE_N)]
     funnel = [
@@ -531,6 +547,10 @@ FROM lf GROUP BY ALL""", b=ORDER_LINES),
 FROM ({' UNION ALL '.join(f"SELECT '{f}' AS feature, CAST({f} AS VARCHAR) AS value, is_returned FROM train"
                           for f in S.LINEITEM_FEATURES)}) x GROUP BY feature, value""", b=ORDER_LINES),
     })
+    awkward = awkward_binding()
+    out["label_trie_funnel"] = trie_sql()
+    out["labels_round_trip"] = q("""SELECT rank, CAST(generate_subscripts(feats, 1) AS INTEGER) AS position, unnest(feats) AS feature,
+  unnest(vals) AS value FROM allp""", *mining_ctes(b=awkward), b=awkward)
     out["streaming_cells"] = out["cells"]
     out["export_roundtrip"] = out["files_patterns_top15"] = out["patterns_top15"]
     out["summary_lines"] = summary_lines_sql(mine)

@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 
 from .. import spec as S
 from ..functions.features import add_features
-from ..functions.items import pattern_label
+from ..functions.items import parse_pattern_label, pattern_label
 from ..functions.metrics import with_rule_metrics
 from ..operators import profile as P
 from ..operators import report as R
 from ..operators.cells import build_cells, split_cells, total_columns
 from ..operators.domain import item_domain, literal_table, top_values
 from ..operators.mine import (extend_patterns, mine_pairs, pair_counts, rank_level, top_n)
-from ..operators.validate import funnel, validate_labels, validate_labels_on_rows
+from ..operators.validate import funnel, label_report, validate_labels
 from ..plans.mining import MiningRun
 from ..session import materialize, scratch_path
 from ..sinks import writers as K
@@ -32,16 +32,21 @@ from ..spec import event_spec
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Patterns given as label text (pattern_metrics_given); the last two are a
-# label matching no row and a malformed label.
+# Patterns given as label text (pattern_metrics_given): text, SQL condition, reason where invalid. The last but one matches
+# no row.
 GIVEN_PATTERNS = (
-    "time_period=night AND amt_category=very_high",
-    "category=purchase AND amt_category=high AND gender=M",
-    "time_period=night AND amt_category=high AND distance_category=medium_distance",
-    "is_weekend=1 AND day_of_week=7",
-    "age_group=senior AND time_period=morning AND amt_category=low AND is_weekend=0",
-    "gender=X AND category=view",
-    "time_period night AND gender=F",
+    ("time_period=night AND amt_category=very_high", "time_period = 'night' AND amt_category = 'very_high'", None),
+    ("category=purchase AND amt_category=high AND gender=M", "category = 'purchase' AND amt_category = 'high' AND gender = 'M'", None),
+    ("time_period=night AND amt_category=high AND distance_category=medium_distance",
+     "time_period = 'night' AND amt_category = 'high' AND distance_category = 'medium_distance'", None),
+    ("is_weekend=1 AND day_of_week=7", "is_weekend = 1 AND day_of_week = 7", None),
+    ("age_group=senior AND time_period=morning AND amt_category=low AND is_weekend=0",
+     "age_group = 'senior' AND time_period = 'morning' AND amt_category = 'low' AND is_weekend = 0", None),
+    ("hour=23 AND time_period=night", "hour = 23 AND time_period = 'night'", None),
+    ("is_weekend=01", "is_weekend = 1", None),
+    ("nosuch=1", None, "Filter error on condition 1: unknown column nosuch"),
+    ("gender=X AND category=view", "gender = 'X' AND category = 'view'", None),
+    ("time_period night AND gender=F", None, "Invalid pattern part: time_period night"),
 )
 
 # Labels over any column (pattern_metrics_any_column): text, SQL condition, reason where invalid.
@@ -236,24 +241,75 @@ def q_min_lift(spark, sf):
 
 
 def q_pattern_metrics_given(spark, sf):
-    spec, cells = _train_cells(spark, sf)
-    labels = literal_table(spark, [(i + 1, t) for i, t in enumerate(GIVEN_PATTERNS)],
+    labels = literal_table(spark, [(i + 1, t) for i, (t, _, _) in enumerate(GIVEN_PATTERNS)],
                            "pattern_id int, pattern_name string")
-    return validate_labels(labels, cells, spec).drop("items")
+    return validate_labels(labels, train_rows(spark, sf), event_spec())
 
 
 def q_pattern_metrics_any_column(spark, sf):
     """Labels over any column of the enhanced train table, with a reason for each that fails."""
     labels = literal_table(spark, [(i + 1, t) for i, (t, _, _) in enumerate(ANY_COLUMN_PATTERNS)],
                            "pattern_id int, pattern_name string")
-    return validate_labels_on_rows(labels, train_rows(spark, sf), event_spec())
+    return validate_labels(labels, train_rows(spark, sf), event_spec())
 
 
 # --- validation -----------------------------------------------------------------------
 
 def q_pattern_funnel(spark, sf):
     r = run(spark, sf)
-    return funnel(r.test_cells, top_n(r.patterns, r.spec.validate_n), r.spec, bounded=True)
+    return funnel(r.test_cells, top_n(r.patterns, r.spec.validate_n), r.spec)
+
+
+# Conditions of the labels of label_trie_funnel, in order.
+TRIE_FEATURES = ("time_period", "category", "hour", "gender", "month")
+
+
+def trie_labels(train: DataFrame) -> DataFrame:
+    """Label text for each combination of ``TRIE_FEATURES`` in the train rows (hours with two digits), and
+    two labels per category that no table can answer."""
+    texts = [F.lpad(F.col(f).cast("string"), 2, "0") if f == "hour" else F.col(f).cast("string") for f in TRIE_FEATURES]
+    items = F.array(*[F.struct(F.lit(f).alias("feature"), t.alias("value")) for f, t in zip(TRIE_FEATURES, texts)])
+    good = train.select(*TRIE_FEATURES).distinct().select(pattern_label(items).alias("pattern_name"))
+    kinds = train.select("category").distinct()
+    wrong = kinds.select(F.explode(F.array(
+        F.concat(F.lit("time_period=night AND merchant="), "category"),
+        F.concat(F.lit("time_period=night AND hour="), "category"))).alias("pattern_name"))
+    return good.unionByName(wrong)
+
+
+def q_label_trie_funnel(spark, sf):
+    """Funnel and validation on the test rows of every label found in the train rows."""
+    rows = txn(spark, sf)
+    report = label_report(trie_labels(rows.where("split = 'train'")), rows.where("split = 'test'"), event_spec(), "pattern_name")
+    return report.select("pattern_name", F.posexplode_outer("after").alias("step", "rows_left"), "pattern_total", "pattern_fraud",
+                         "score", "valid", "reason").withColumn("step", F.col("step") + 1)
+
+
+# Values that a label must escape, for each event type.
+AWKWARD_VALUES = (("purchase", "a=b AND c"), ("error", "back\\slash\\"), ("view", " AND "), ("click", "AND=, \"x\""), ("signup", " two  "))
+
+
+def awkward_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The enhanced rows with categories that hold separators, escapes, quotes and spaces at the ends."""
+    case = F.lit(None).cast("string")
+    for plain, awkward in AWKWARD_VALUES:
+        case = F.when(F.col("category") == plain, awkward).otherwise(case)
+    return txn(spark, sf_dir).withColumn("category", case)
+
+
+def awkward_spec():
+    return event_spec().with_(domains={k: {f: v for f, v in d.items() if f != "category"} for k, d in S.EVENT_DOMAINS.items()})
+
+
+def q_labels_round_trip(spark, sf):
+    """Patterns with such values, exported as text, read again, and their labels parsed to items."""
+    from .mining import export
+    r = MiningRun(awkward_transactions(spark, sf), awkward_spec())
+    out = scratch_path(spark, "results")
+    export(r, out)
+    again = read_latest_patterns(spark, out, prefer="all").select("Rank", parse_pattern_label(F.col("Pattern_Name")).alias("parsed"))
+    each = again.select(F.col("Rank").alias("rank"), F.posexplode("parsed.items").alias("i", "item"))
+    return each.select("rank", (F.col("i") + 1).alias("position"), "item.feature", "item.value")
 
 
 VALIDATION_OUT = ("rank", "pattern_name", "valid", "reason", "train_pattern_total", "train_pattern_fraud",
@@ -453,6 +509,8 @@ def all_queries() -> dict[str, Query]:
         "pattern_metrics_given": q_pattern_metrics_given,
         "pattern_metrics_any_column": q_pattern_metrics_any_column,
         "pattern_funnel": q_pattern_funnel,
+        "label_trie_funnel": q_label_trie_funnel,
+        "labels_round_trip": q_labels_round_trip,
         "validate_top10": q_validate_top10,
         "stability_top10": q_stability_top10,
         "pattern_counts": q_pattern_counts,

@@ -57,7 +57,7 @@ def write_result(df: DataFrame, base: str, kind: str, run_id: str, fmt: str = "c
     path = f"{base.rstrip('/')}/kind={kind}/run_id={run_id}"
     w = df.coalesce(1).write.mode("overwrite")
     if fmt == "csv":
-        w.option("header", "true").csv(path)
+        w.options(**S.CSV_TEXT, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
     else:
         w.format(fmt).save(path)
     return path

@@ -28,7 +28,7 @@ def _load(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     """One result folder; CSV columns are matched by header name and cast."""
     if fmt != "csv":
         return spark.read.format(fmt).load(path)
-    df = spark.read.option("header", "true").csv(path)
+    df = spark.read.options(**S.CSV_TEXT, multiLine=True).csv(path)
     return df.withColumns({c: F.col(c).try_cast(t) for c, t in PATTERN_TYPES.items() if c in df.columns})
 
 

@@ -85,6 +85,9 @@ STABLE_LIFT_DIFF = 10.0
 # Label text: items joined by " AND ", feature and value by "=".
 ITEM_SEP = " AND "
 KV_SEP = "="
+# Inside a feature or value: the escape sign goes before itself, before the word AND (between spaces or at an
+# end), before a space at either end, and, in a feature, before "=".
+ESCAPE = "\\"
 # Readable label: " AND " -> " & ", "=" -> ": ", cut to 77 + "..." over 80.
 READABLE_ITEM_SEP = " & "
 READABLE_KV_SEP = ": "
@@ -114,6 +117,8 @@ REASON_NO_MATCH = "No matching transactions"
 REASON_BAD_PART = "Invalid pattern part: "
 REASON_FILTER_ERROR = "Filter error on condition "
 REASON_NULL_LABEL = "No pattern label"
+# Result tables as CSV: quotes are doubled, so a backslash in a value stands for itself.
+CSV_TEXT = {"header": True, "escape": '"'}
 RUN_STAMP_FORMAT = "%Y%m%d_%H%M%S"
 SUMMARY_HEADER = "FRAUD PATTERN ANALYSIS SUMMARY"
 SUMMARY_GENERATED = "Generated: {}"
