@@ -30,13 +30,14 @@ def _show(title: str, df, rows: int, order=()) -> None:
 
 
 def _profile(spark, args) -> None:
-    from .plans.eda import profile
+    from .plans.eda import profile_run
     from .plans.mining import run_from_files
     from .sinks.writers import new_run_id, write_result
 
-    r = run_from_files(spark, args.train, args.test, fmt=args.format)
+    r = run_from_files(spark, args.train, args.test, fmt=args.format, max_rejected=args.max_rejected)
+    r.observe = True  # one scan for the whole profile
     try:
-        p = profile(r.rows, cells=r.cells)
+        p = profile_run(r)
         orders = {"shape": ["split"], "nulls": ["split", "column"], "class_balance": ["split"], "composition": ["split"],
                   "rates": ["feature", "split", "value"], "comparison": ["dataset"], "rate_by_time_period": ["value"],
                   "rate_by_amount": []}
@@ -59,7 +60,7 @@ def _mine(spark, args) -> None:
     from .operators.report import pattern_counts, report_table
     from .plans.mining import export, run_from_files
 
-    r = run_from_files(spark, args.train, args.test, fmt=args.format)
+    r = run_from_files(spark, args.train, args.test, fmt=args.format, max_rejected=args.max_rejected)
     try:
         run_id = export(r, args.out, fmt=args.format)
         _show("patterns per level", pattern_counts(r.patterns), args.rows, ["level"])
@@ -95,6 +96,8 @@ def main(argv=None) -> int:
     ap.add_argument("--test")
     ap.add_argument("--out", help="results folder (profile, mine: written, report: read, text written)")
     ap.add_argument("--format", default="csv", help="input/output format (csv, parquet, ...)")
+    ap.add_argument("--max-rejected", type=float, default=None,
+                    help="share of bad CSV records to leave out; without it the first one is an error")
     ap.add_argument("--rows", type=int, default=50, help="rows printed of each table")
     args = ap.parse_args(argv)
     if args.step in ("profile", "mine") and not (args.train and args.test):

@@ -1,7 +1,8 @@
 """Entry point 1: profiling of the train and test transactions.
 
-All tables are lazy DataFrames; the label-rate tables read the cell table
-when one is given (no further scan), otherwise one grouped pass each.
+``profile_run`` takes everything from one raw scan: shape, nulls and class counts are observed while the cell
+table is built, and the rates are read from the cells. ``profile`` takes rows and scans
+them for what no cell table has.
 """
 
 from __future__ import annotations
@@ -42,3 +43,23 @@ def profile(rows: DataFrame, label: str = "is_fraud", split_col: str = "split",
         rate_by_time_period=C.chart_rate_by_time_period(train_rows, label),
         rate_by_amount=C.chart_rate_by_amount(train_rows, label),
     )
+
+
+def profile_run(run, features=S.PROFILE_FEATURES) -> Profile:
+    """``profile`` of a ``MiningRun(..., observe=True)`` with no scan beside the one that builds its cells."""
+    if not run.observe:
+        raise ValueError("the run does not observe its scan")
+    cells, split, label = run.cells, run.split_col, run.spec.label
+    if not run.observed.agrees_with(cells):  # a stage ran twice
+        return profile(run.rows, label, split, features, cells)
+    balance = run.observed.label_distribution(cells, run.spec.positive, run.spec.negative)
+    return Profile(
+        shape=run.observed.dataset_shape(),
+        nulls=run.observed.null_profile(only_nonzero=True),
+        class_balance=C.chart_class_shares(run.rows, label, split) if balance is None else balance,
+        composition=P.composition(cells, label, by=[split]),
+        rates=P.rate_by_feature(cells, features, label, round_to=2, by=[split]),
+        comparison=P.compare_datasets(cells, label, split, run.train, run.test),
+        rate_by_time_period=C.chart_rate_by_time_period(run.train_cells, label),
+        rate_by_amount=C.chart_rate_by_amount(run.train_cells, label),
+    )

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators.cells import build_cells, split_cells
 from ..operators.mine import mine, top_n
+from ..operators.observed import Observed, observed
 from ..operators.profile import composition, dataset_shape
 from ..operators.report import run_summary
 from ..operators.validate import stability, validate
@@ -30,16 +31,23 @@ class MiningRun:
     split_col: str = "split"
     train: str = "train"
     test: str = "test"
+    observe: bool = False  # count shape and nulls in the scan that builds the cells
 
     @cached_property
     def workdir(self) -> str:
         """This run's folder under the shared checkpoint folder."""
         return scratch_path(self.rows.sparkSession, "run")
 
+    @cached_property
+    def observed(self) -> Observed:
+        """The observation of the scan that builds the cells (``observe``)."""
+        return observed(self.rows, self.split_col, (self.train, self.test), self.spec.label)
+
     @cached_property
     def cells(self) -> DataFrame:
         # One folder per split: the train and test reads each scan only their half.
-        return materialize(build_cells(self.rows, self.spec, by=[self.split_col]), "cells",
+        rows = self.observed.rows if self.observe else self.rows
+        return materialize(build_cells(rows, self.spec, by=[self.split_col]), "cells",
                            partition_by=(self.split_col,), base=self.workdir)
 
     @cached_property
@@ -76,31 +84,39 @@ class MiningRun:
         """Delete this run's intermediate tables. DataFrames of the run are
         unusable afterwards; export results first."""
         deleted = delete_path(self.rows.sparkSession, self.workdir)
-        for name in ("cells", "train_cells", "test_cells", "patterns", "validated", "workdir"):
+        for name in ("cells", "train_cells", "test_cells", "patterns", "validated", "observed", "workdir"):
             self.__dict__.pop(name, None)
         return deleted
 
 
 def run_from_files(spark, train_path: str, test_path: str, spec: PatternSpec | None = None,
-                   fmt: str = "csv", schema=None) -> MiningRun:
+                   fmt: str = "csv", schema=None, max_rejected: float | None = None) -> MiningRun:
     """Entry point 2 from two transaction files: read (S1/S2), stack with a
-    split column (S5), derive features, and return the lazy run."""
+    split column (S5), derive features, and return the lazy run.
+
+    With ``max_rejected`` (CSV) bad records are left out as long as they are at most this share of either file
+    (``read_checked`` lists them); without it the first one fails the job."""
     from ..functions.features import add_features
-    from ..sources.transactions import TRANSACTION_SCHEMA, Holdout, read_transactions
+    from ..sources.transactions import TRANSACTION_SCHEMA, Holdout, read_checked, read_transactions
 
     schema = schema if schema is not None else (TRANSACTION_SCHEMA if fmt == "csv" else None)
-    train = read_transactions(spark, train_path, fmt, schema)
-    test = read_transactions(spark, test_path, fmt, schema)
-    rows = add_features(Holdout(train, test).stacked())
+
+    def read(path):
+        if max_rejected is None or fmt != "csv":
+            return read_transactions(spark, path, fmt, schema)
+        return read_checked(spark, path, schema).within(max_rejected).rows
+
+    rows = add_features(Holdout(read(train_path), read(test_path)).stacked())
     return MiningRun(rows, spec if spec is not None else PatternSpec())
 
 
 def export(run: MiningRun, results_dir: str, run_id: str | None = None, fmt: str = "csv") -> str:
-    """K1-K5: write all, top-N, validation and summary tables of a run."""
+    """K1-K5: publish the all, top-N, validation and summary tables of a run together."""
     from ..sinks import writers as K
+    from ..sinks.publish import Publication
 
-    run_id = run_id or K.new_run_id()
-    K.write_patterns(run.patterns, results_dir, run_id, run.spec.top_n, fmt)
-    K.write_validation(run.validated, results_dir, run_id, fmt)
-    K.write_summary(run.summary(run_id), results_dir, run_id, fmt)
-    return run_id
+    with Publication(run.rows.sparkSession, results_dir, run_id) as out:
+        K.stage_patterns(out, run.patterns, run.spec.top_n, fmt)
+        K.stage_validation(out, run.validated, fmt)
+        out.write(K.to_summary_shape(run.summary(out.run_id)), "summary", fmt)
+    return out.run_id

@@ -8,7 +8,8 @@ plan rather than repeat it.
 from __future__ import annotations
 
 from .. import spec as S
-from .registry import ANY_COLUMN_PATTERNS, AWKWARD_VALUES, FIXED_RUN_ID, GIVEN_PATTERNS, TRIE_FEATURES
+from .registry import (ANY_COLUMN_PATTERNS, AWKWARD_VALUES, BAD_DATE, BAD_NUMBER, FIXED_RUN_ID, GIVEN_PATTERNS, NEAR_UNIQUE,
+                       PREDICATES, SHORT_ROW, TRIE_FEATURES)
 
 FEATS = S.MINING_FEATURES
 DOMAINS = S.EVENT_DOMAINS
@@ -362,6 +363,37 @@ def awkward_binding() -> Binding:
     return Binding(base, S.MINING_FEATURES, domains, "is_fraud", "event_id")
 
 
+def rejects_sql() -> str:
+    """The planted bad records."""
+    def kind(nth, column, text, reason):
+        return (f"SELECT split, CAST(event_id AS VARCHAR) AS row, {column} AS column_name, {text} AS text, '{reason}' AS reason "
+                f"FROM txn WHERE event_id % {nth} = 0")
+    return q("\nUNION ALL ".join([
+        kind(BAD_NUMBER, "'amt'", "'USD ' || CAST(amt AS VARCHAR)", "Malformed double"),
+        kind(BAD_DATE, "'dob'", "'1980-13-45'", "Malformed date"),
+        kind(SHORT_ROW, "NULL", "NULL", "Wrong number of fields")]))
+
+
+def near_unique_sql() -> str:
+    parts = " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({'CAST(ts AS DATE)' if c == 'day' else c} AS VARCHAR) AS value FROM events"
+                               for c in NEAR_UNIQUE)
+    return f"""SELECT feature, value, CAST(count AS BIGINT) AS count, CAST(value_rank AS INTEGER) AS value_rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY feature ORDER BY count DESC, value ASC NULLS LAST) AS value_rank
+  FROM (SELECT feature, value, count(*) AS count FROM ({parts}) GROUP BY ALL))
+WHERE value_rank <= 10 AND value IS NOT NULL"""
+
+
+def export_validation_sql() -> str:
+    base = Binding(TXN.replace("WHERE split = 'test')", "WHERE split = 'test' AND gender <> 'M')"), S.MINING_FEATURES,
+                   S.EVENT_DOMAINS, "is_fraud", "event_id")
+    metrics = {"Train_Confidence": "train_confidence", "Test_Confidence": "test_confidence", "Train_Lift": "train_lift",
+               "Test_Lift": "test_lift", "Confidence_Diff": "confidence_diff", "Lift_Diff": "lift_diff"}
+    cols = ", ".join(f"CASE WHEN valid THEN {v} END AS {k}, CASE WHEN NOT valid THEN 'N/A' END AS {k}_text" for k, v in metrics.items())
+    return q(f"""SELECT rank AS Pattern_ID, pattern_name AS Pattern_Name, status AS Status,
+  CASE WHEN valid THEN 'Yes' ELSE 'No' END AS Valid, {cols} FROM stab""",
+             *mining_ctes(b=base), *test_metrics_ctes(S.TOP_N, base), b=base)
+
+
 def null_profile_sql() -> str:
     parts = []
     for i, c in enumerate(ALL_COLUMNS):
@@ -547,6 +579,16 @@ FROM lf GROUP BY ALL""", b=ORDER_LINES),
 FROM ({' UNION ALL '.join(f"SELECT '{f}' AS feature, CAST({f} AS VARCHAR) AS value, is_returned FROM train"
                           for f in S.LINEITEM_FEATURES)}) x GROUP BY feature, value""", b=ORDER_LINES),
     })
+    out["results_published"] = out["files_with_rejects"] = out["patterns_top15"]
+    out["export_all_patterns"] = out["patterns_top15"].replace(f"WHERE rank <= {S.TOP_N}", "")
+    out["export_validation"] = export_validation_sql()
+    out["files_rejects"] = rejects_sql()
+    out["predicate_counts"] = q("\nUNION ALL ".join(
+        f"SELECT {i + 1} AS pattern_id, count(*) AS n, count(*) FILTER (WHERE is_fraud = 1) AS p FROM train WHERE {cond}"
+        for i, (_, cond) in enumerate(PREDICATES)))
+    for name in ("dataset_shape", "null_profile", "label_distribution"):
+        out[f"{name}_observed"] = out[name]
+    out["top_values_heavy"], out["top_values_near_unique"] = out["top_values"], near_unique_sql()
     awkward = awkward_binding()
     out["label_trie_funnel"] = trie_sql()
     out["labels_round_trip"] = q("""SELECT rank, CAST(generate_subscripts(feats, 1) AS INTEGER) AS position, unnest(feats) AS feature,

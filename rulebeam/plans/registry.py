@@ -21,13 +21,15 @@ from ..operators import profile as P
 from ..operators import report as R
 from ..operators.cells import build_cells, split_cells, total_columns
 from ..operators.domain import item_domain, literal_table, top_values
+from ..operators.heavy import heavy_top_values
 from ..operators.mine import (extend_patterns, mine_pairs, pair_counts, rank_level, top_n)
 from ..operators.validate import funnel, label_report, validate_labels
 from ..plans.mining import MiningRun
 from ..session import materialize, scratch_path
 from ..sinks import writers as K
+from ..sinks.publish import Publication
 from ..sources.results import read_latest_patterns
-from ..sources.transactions import TRANSACTION_SCHEMA, event_transactions
+from ..sources.transactions import TRANSACTION_SCHEMA, Holdout, event_transactions, read_checked, read_table
 from ..spec import event_spec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -161,6 +163,22 @@ def q_top_values(spark, sf):
     return top_values(cells, spec.features, spec.top_k(2))
 
 
+def q_top_values_heavy(spark, sf):
+    """``top_values`` from summaries of the raw train rows."""
+    spec = event_spec()
+    return heavy_top_values(train_rows(spark, sf), spec.features, spec.top_k(2))
+
+
+# Columns of the events themselves: about one value per row, per customer and per day, and a few kinds.
+NEAR_UNIQUE = ("event_id", "user_id", "day", "event_type")
+
+
+def q_top_values_near_unique(spark, sf):
+    """The ten most frequent values of columns of any width, from summaries of 64 counters a task."""
+    events = read_table(spark, sf, "events").withColumn("day", F.to_date("ts").cast("string"))
+    return heavy_top_values(events, NEAR_UNIQUE, 10, counters=64)
+
+
 def q_item_domain_l2(spark, sf):
     spec, cells = _train_cells(spark, sf)
     return item_domain(cells, spec, 2)
@@ -436,6 +454,64 @@ def q_export_roundtrip(spark, sf):
     return read_latest_patterns(spark, base).drop("kind", "run_id")
 
 
+def q_results_published(spark, sf):
+    """Two runs of one second and one that dies half-way: the newest committed top-N table is read."""
+    r = run(spark, sf)
+    base = scratch_path(spark, "results")
+    first, second = sorted((K.new_run_id(), K.new_run_id()))
+    K.write_patterns(r.patterns.where("rank <= 3"), base, first, r.spec.top_n)
+    K.write_patterns(r.patterns, base, second, r.spec.top_n)
+    try:
+        with Publication(spark, base, K.new_run_id()) as out:
+            K.stage_patterns(out, r.patterns.where("rank = 1"), r.spec.top_n)
+            raise InterruptedError("the run dies before its manifest")
+    except InterruptedError:
+        pass
+    return read_latest_patterns(spark, base).where(F.col("run_id") == second).drop("kind", "run_id")
+
+
+def q_export_all_patterns(spark, sf):
+    """K1: the file of all patterns as written, read again."""
+    r = run(spark, sf)
+    base = scratch_path(spark, "results")
+    K.write_patterns(r.patterns, base, K.new_run_id(), r.spec.top_n)
+    return read_latest_patterns(spark, base, prefer="all").drop("kind", "run_id")
+
+
+def q_export_validation(spark, sf):
+    """K3: the validation file as written, where the test rows of one gender are missing, so that some patterns
+    fail (metrics ``N/A``); numbers as numbers, other text beside them."""
+    rows = txn(spark, sf).where("split = 'train' OR gender <> 'M'")
+    r = MiningRun(rows, event_spec(validate_n=S.TOP_N))
+    base = scratch_path(spark, "results")
+    path = K.write_validation(r.validated, base, K.new_run_id())
+    written = spark.read.options(**S.CSV_TEXT).csv(path)
+    out = [F.col("Pattern_ID").cast("int").alias("Pattern_ID"), "Pattern_Name", "Status", "Valid"]
+    for c in K.VALIDATION_COLUMNS[2:8]:
+        number = F.col(c).try_cast("double")
+        out += [number.alias(c), F.when(number.isNull(), F.col(c)).alias(f"{c}_text")]
+    return written.select(*out)
+
+
+def q_predicate_counts(spark, sf):
+    """Typed filters of literal patterns over the train rows, all counted in one pass."""
+    from ..functions.items import items_to_predicate
+    rows = train_rows(spark, sf)
+    counts = [F.struct(F.lit(i + 1).alias("pattern_id"), F.count_if(items_to_predicate(p, rows.schema)).alias("n"),
+                       F.count_if(items_to_predicate(p, rows.schema) & (F.col("is_fraud") == 1)).alias("p"))
+              for i, (p, _) in enumerate(PREDICATES)]
+    return rows.agg(F.array(*counts).alias("found")).select(F.inline("found"))
+
+
+# Literal items and their SQL condition (predicate_counts).
+PREDICATES = (
+    ((("is_weekend", "01"), ("time_period", " night ")), "is_weekend = 1 AND time_period = 'night'"),
+    ((("hour", "7"), ("gender", "F"), ("category", "purchase")), "hour = 7 AND gender = 'F' AND category = 'purchase'"),
+    ((("month", "x"),), "false"),
+    ((("amt", "0"),), "amt = 0"),
+)
+
+
 FIXED_RUN_ID = "20240101_000000"
 
 
@@ -469,6 +545,71 @@ def q_files_summary(spark, sf):
     return s.select("Metric", number.alias("number"), F.when(number.isNull(), F.col("Value")).alias("text"))
 
 
+# Every how many-th event is written once more as a bad record, by kind (files_with_rejects).
+BAD_NUMBER, BAD_DATE, SHORT_ROW = 97, 101, 103
+
+
+def _rejects_run(spark, sf):
+    """The files of ``_files_run`` with bad records among the good ones: numbers and dates that are none, and
+    rows with too few fields. (Checked train file, checked test file)."""
+    base = scratch_path(spark, "csv")
+    t = event_transactions(spark, sf)
+    columns = [f.name for f in TRANSACTION_SCHEMA.fields]
+    every = t.select("split", "event_id", *[F.col(c).cast("string").alias(c) for c in columns])
+    nth = F.col("event_id")
+    bad_number = every.where(nth % BAD_NUMBER == 0).withColumn("amt", F.concat(F.lit("USD "), "amt"))
+    bad_date = every.where(nth % BAD_DATE == 0).withColumn("dob", F.lit("1980-13-45"))
+    line = F.concat_ws(",", F.col("event_id"), *[F.coalesce(c, F.lit("")) for c in columns])
+    short = every.where(nth % SHORT_ROW == 0).select("split", F.concat_ws(",", "event_id", "category").alias("line"))
+    lines = every.unionByName(bad_number).unionByName(bad_date).select("split", line.alias("line")).unionByName(short)
+    # Eight files a side, each with its header first.
+    lines = lines.select("split", F.pmod(F.xxhash64("line"), F.lit(8)).alias("part"), F.lit(1).alias("at"), "line")
+    sides = spark.createDataFrame([("train",), ("test",)], "split string")
+    heads = (sides.join(spark.range(8).select(F.col("id").alias("part")))
+             .select("split", "part", F.lit(0).alias("at"), F.lit(",".join(["", *columns])).alias("line")))
+    (lines.unionByName(heads).repartition("split", "part").sortWithinPartitions("split", "part", "at")
+     .select("split", "part", "line").write.partitionBy("split", "part").text(f"{base}/in"))
+    return [read_checked(spark, f"{base}/in/split={s}/part=*") for s in ("train", "test")], base
+
+
+def q_files_with_rejects(spark, sf):
+    """Patterns of files with bad records: those of the good records alone."""
+    checked, _ = _rejects_run(spark, sf)
+    train, test = (c.within(0.05).rows for c in checked)
+    return K.to_export_shape(MiningRun(add_features(Holdout(train, test).stacked()), event_spec()).top)
+
+
+def q_files_rejects(spark, sf):
+    """The rejected records of these files."""
+    checked, _ = _rejects_run(spark, sf)
+    both = checked[0].rejects.withColumn("split", F.lit("train")).unionByName(checked[1].rejects.withColumn("split", F.lit("test")))
+    return both.select("split", "row", F.col("column").alias("column_name"), "text", "reason")
+
+
+def _observed_run(spark, sf):
+    return MiningRun(txn(spark, sf), event_spec(), observe=True)
+
+
+def q_dataset_shape_observed(spark, sf):
+    """G1 from the scan that builds the cells."""
+    r = _observed_run(spark, sf)
+    assert r.observed.agrees_with(r.cells)
+    return r.observed.dataset_shape()
+
+
+def q_null_profile_observed(spark, sf):
+    """G2 from the scan that builds the cells."""
+    r = _observed_run(spark, sf)
+    assert r.observed.agrees_with(r.cells)
+    return r.observed.null_profile()
+
+
+def q_label_distribution_observed(spark, sf):
+    """G3/C1 of the one-scan profile."""
+    from .eda import profile_run
+    return profile_run(_observed_run(spark, sf)).class_balance
+
+
 def q_streaming_cells(spark, sf):
     from ..streaming.cells import stream_cells_once
     return stream_cells_once(spark, sf, event_spec())
@@ -534,6 +675,17 @@ def all_queries() -> dict[str, Query]:
         "export_roundtrip": q_export_roundtrip,
         "files_patterns_top15": q_files_patterns_top15,
         "files_summary": q_files_summary,
+        "files_with_rejects": q_files_with_rejects,
+        "files_rejects": q_files_rejects,
+        "results_published": q_results_published,
+        "export_all_patterns": q_export_all_patterns,
+        "export_validation": q_export_validation,
+        "predicate_counts": q_predicate_counts,
+        "dataset_shape_observed": q_dataset_shape_observed,
+        "null_profile_observed": q_null_profile_observed,
+        "label_distribution_observed": q_label_distribution_observed,
+        "top_values_heavy": q_top_values_heavy,
+        "top_values_near_unique": q_top_values_near_unique,
         "streaming_cells": q_streaming_cells,
     })
     return q

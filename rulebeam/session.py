@@ -71,17 +71,48 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", f"{name}-{os.urandom(6).hex()}")
 
 
+def _file_system(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
 def list_paths(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match a glob pattern (any Hadoop file system)."""
-    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hpath = _file_system(spark, pattern)
     return [s.getPath().toString() for s in (fs.globStatus(hpath) or [])]
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, hpath = _file_system(spark, path)
+    return bool(fs.exists(hpath))
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, hpath = _file_system(spark, path)
+    fs.mkdirs(hpath)
+
+
+def rename_path(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder or file to a path that does not exist yet."""
+    fs, hpath = _file_system(spark, source)
+    if path_exists(spark, target) or not fs.rename(hpath, _file_system(spark, target)[1]):
+        raise FileExistsError(f"could not move {source} to {target}")
+
+
+def write_small_file(spark: SparkSession, path: str, text: str) -> None:
+    """A whole file at once: written beside ``path`` and then moved there."""
+    beside = f"{path}.{os.urandom(4).hex()}.tmp"
+    fs, hpath = _file_system(spark, beside)
+    out = fs.create(hpath, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    rename_path(spark, beside, path)
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Delete a folder this library wrote (any Hadoop file system: HDFS, S3,
     local). Returns whether something was deleted."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hpath = _file_system(spark, path)
     return bool(fs.delete(hpath, True))

@@ -1,28 +1,22 @@
 """K1-K6: result tables in the published file shapes.
 
-Results go to ``<base>/kind=<kind>/run_id=<run_id>/`` so that "the newest
-run" is a partition value, not a file-system timestamp. Pattern tables are
+Results go to ``<base>/kind=<kind>/run_id=<run_id>/`` by the commit protocol of ``publish``, so that "the newest
+run" is the newest manifest, not a file-system timestamp. Pattern tables are
 bounded by beam x domain, so each is written as one file.
 """
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import spec as S
+from .publish import Publication, new_run_id  # noqa: F401 (new_run_id: part of this module's interface)
 
 EXPORT_COLUMNS = S.PATTERN_EXPORT_COLUMNS
 VALIDATION_COLUMNS = S.VALIDATION_EXPORT_COLUMNS
 
 
-def new_run_id() -> str:
-    """K5: ``YYYYmmdd_HHMMSS`` (UTC)."""
-    return datetime.now(timezone.utc).strftime(S.RUN_STAMP_FORMAT)
-
-
 def to_export_shape(patterns: DataFrame) -> DataFrame:
     """The 10 published pattern columns, by rank."""
     sources = [F.col("rank"), F.col("pattern_type"), F.col("pattern_name"), F.col("support"),
@@ -53,30 +47,33 @@ def to_summary_shape(summary: DataFrame) -> DataFrame:
 
 
 def write_result(df: DataFrame, base: str, kind: str, run_id: str, fmt: str = "csv") -> str:
-    """Write one small result table as a single file with a header row."""
-    path = f"{base.rstrip('/')}/kind={kind}/run_id={run_id}"
-    w = df.coalesce(1).write.mode("overwrite")
-    if fmt == "csv":
-        w.options(**S.CSV_TEXT, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
-    else:
-        w.format(fmt).save(path)
-    return path
+    """Publish one small result table as a single file with a header row."""
+    with Publication(df.sparkSession, base, run_id) as out:
+        return out.write(df, kind, fmt)
 
 
-def write_patterns(patterns: DataFrame, base: str, run_id: str, top: int, fmt: str = "csv") -> dict[str, str]:
+def stage_patterns(out: Publication, patterns: DataFrame, top: int, fmt: str = "csv") -> dict[str, str]:
     """K1 + K2: all patterns and the top ``top``."""
     rank = EXPORT_COLUMNS[0]
     shaped = to_export_shape(patterns).orderBy(rank)
-    return {
-        "all": write_result(shaped, base, "all", run_id, fmt),
-        "top": write_result(shaped.filter(F.col(rank) <= top), base, "top", run_id, fmt),
-    }
+    return {"all": out.write(shaped, "all", fmt), "top": out.write(shaped.filter(F.col(rank) <= top), "top", fmt)}
+
+
+def stage_validation(out: Publication, stable: DataFrame, fmt: str = "csv") -> str:
+    """K3."""
+    return out.write(to_validation_shape(stable, text=(fmt == "csv")).orderBy(VALIDATION_COLUMNS[0]), "validation", fmt)
+
+
+def write_patterns(patterns: DataFrame, base: str, run_id: str, top: int, fmt: str = "csv") -> dict[str, str]:
+    """K1 + K2, published together."""
+    with Publication(patterns.sparkSession, base, run_id) as out:
+        return stage_patterns(out, patterns, top, fmt)
 
 
 def write_validation(stable: DataFrame, base: str, run_id: str, fmt: str = "csv") -> str:
     """K3."""
-    return write_result(to_validation_shape(stable, text=(fmt == "csv")).orderBy(VALIDATION_COLUMNS[0]),
-                        base, "validation", run_id, fmt)
+    with Publication(stable.sparkSession, base, run_id) as out:
+        return stage_validation(out, stable, fmt)
 
 
 def write_summary(summary: DataFrame, base: str, run_id: str, fmt: str = "csv") -> str:
@@ -86,6 +83,4 @@ def write_summary(summary: DataFrame, base: str, run_id: str, fmt: str = "csv")
 
 def write_summary_text(lines: DataFrame, base: str, run_id: str) -> str:
     """K6: the text summary, one line per row."""
-    path = f"{base.rstrip('/')}/kind=summary_text/run_id={run_id}"
-    lines.orderBy("line_no").select("line").coalesce(1).write.mode("overwrite").text(path)
-    return path
+    return write_result(lines.orderBy("line_no").select("line"), base, "summary_text", run_id, "text")

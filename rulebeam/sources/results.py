@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import spec as S
 from ..session import list_paths
+from ..sinks.publish import committed
 
 # Types of the published pattern columns, by name; other columns stay text.
 PATTERN_TYPES = {"Rank": "int", "Support": "double", "Confidence": "double", "Lift": "double", "Score": "double",
@@ -37,13 +38,18 @@ def read_latest_patterns(spark: SparkSession, base: str, prefer: str = "top", fa
     """The pattern table of the newest run, preferring the ``prefer``
     kind (top-N) over ``fallback`` (all). Summary tables never qualify.
 
-    "Newest" is the largest ``run_id`` folder. The choice is made from folder names
+    "Newest" is the largest run id with a manifest (``sinks.publish``); runs without one are not read. A folder of results
+    written before there were manifests is read by its ``run_id`` folders. The choice is made from names
     alone; a table that does not look like pattern data is passed over for the next one.
     """
     base = base.rstrip("/")
+    runs = committed(spark, base)
     for kind in (prefer, fallback):
-        found = sorted((re.search(r"run_id=([^/]+)$", p).group(1) for p in list_paths(spark, f"{base}/kind={kind}/run_id=*")),
-                       reverse=True)
+        if runs is None:
+            found = sorted((re.search(r"run_id=([^/]+)$", p).group(1) for p in list_paths(spark, f"{base}/kind={kind}/run_id=*")),
+                           reverse=True)
+        else:
+            found = [run_id for run_id, kinds in runs if kind in kinds]
         for run_id in found:
             df = _load(spark, f"{base}/kind={kind}/run_id={run_id}", fmt)
             if check_columns(df):

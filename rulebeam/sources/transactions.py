@@ -5,10 +5,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import spec as S
+from ..functions.items import quoted
+
 # Columns the analysis reads; any others pass through untouched.
 TRANSACTION_SCHEMA = T.StructType([
     T.StructField("trans_date_trans_time", T.TimestampType()),
@@ -50,6 +53,66 @@ def read_transactions(spark: SparkSession, path: str, fmt: str = "csv",
     return df.drop(INDEX_COLUMN) if INDEX_COLUMN in df.columns else df
 
 
+@dataclass(frozen=True)
+class Checked:
+    """S1 with its bad records apart: ``rows`` (typed, without bad records), ``rejects`` (file, row, column, text,
+    reason, record: one row per fault) and ``counts`` (one row: n_rows, n_rejected records)."""
+
+    rows: DataFrame
+    rejects: DataFrame
+    counts: DataFrame
+
+    def within(self, max_share: float) -> "Checked":
+        """Itself, if at most ``max_share`` of all records are rejected; else an error."""
+        total, bad = self.counts.first()
+        if bad > max_share * total:
+            raise ValueError(f"{bad} of {total} records are rejected, more than a share of {max_share}")
+        return self
+
+
+# Columns that are added while records are checked; a file may not have them.
+_RECORD, _FILE, _FAULTS = "_corrupt_record", "_source_file", "_faults"
+
+
+def read_checked(spark: SparkSession, path: str, schema: T.StructType = TRANSACTION_SCHEMA,
+                 options: dict | None = None) -> Checked:
+    """S1/S2 for files that may hold bad records: a value that is not of its column's type (a number, a date)
+    or a record with too few or too many fields does not fail the job; its record goes to ``rejects`` with the
+    reason, and all other records are typed as ``read_transactions`` types them.
+
+    Columns are matched by header name and unknown columns stay text; ``row`` is the unnamed index column, where there
+    is one. An empty field is null, which is no fault."""
+    options = {"header": True, **(options or {})}
+    names = spark.read.options(**options).csv(path).columns
+    taken = {_RECORD, _FILE, _FAULTS} & {n.lower() for n in names}
+    if taken:
+        raise ValueError(f"the file has columns named {', '.join(sorted(taken))}")
+    text = T.StructType([T.StructField(n, T.StringType()) for n in (*names, _RECORD)])
+    # Without column pruning the parser sees all fields of a record and so their number.
+    raw = (spark.read.schema(text).options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=_RECORD, columnPruning=False)
+           .csv(path).withColumn(_FILE, F.col("_metadata.file_path")))
+    typed = {f.name: f.dataType for f in schema.fields}
+
+    def fault(column: Column, value: Column, reason: Column | str) -> Column:
+        return F.struct(column.alias("column"), value.alias("text"), F.lit(reason).alias("reason"))
+
+    def read(c: str) -> Column:
+        return F.col(quoted(c)).try_cast(typed[c]) if c in typed else F.col(quoted(c))
+
+    faults = [F.when(F.col(_RECORD).isNotNull(), fault(F.lit(None).cast("string"), F.lit(None).cast("string"), S.REJECT_FIELDS))]
+    faults += [F.when(F.col(_RECORD).isNull() & F.col(quoted(c)).isNotNull() & read(c).isNull(),
+                      fault(F.lit(c), F.col(quoted(c)), S.REJECT_VALUE + typed[c].simpleString())) for c in names if c in typed]
+    raw = raw.withColumn(_FAULTS, F.array_compact(F.array(*faults)))
+    good = raw.where(F.size(_FAULTS) == 0).select(*[read(c).alias(c) for c in names if c != INDEX_COLUMN])
+    index = F.col(INDEX_COLUMN) if INDEX_COLUMN in names else F.lit(None).cast("string")
+    record = F.coalesce(F.col(_RECORD), F.to_csv(F.struct(*[F.col(quoted(c)) for c in names])))
+    rejects = (raw.where(F.size(_FAULTS) > 0)
+               .select(F.col(_FILE).alias("file"), index.alias("row"), F.explode(_FAULTS).alias("fault"), record.alias("record"))
+               .select("file", "row", "fault.column", "fault.text", "fault.reason", "record"))
+    counts = raw.agg(F.count("*").alias("n_rows"), F.count_if(F.size(_FAULTS) > 0).alias("n_rejected"))
+    return Checked(good, rejects, counts)
+
+
 @dataclass(frozen=True)
 class Holdout:
     """Train and test side by side, or one table with a ``split`` column."""

@@ -119,6 +119,8 @@ REASON_FILTER_ERROR = "Filter error on condition "
 REASON_NULL_LABEL = "No pattern label"
 # Result tables as CSV: quotes are doubled, so a backslash in a value stands for itself.
 CSV_TEXT = {"header": True, "escape": '"'}
+REJECT_FIELDS = "Wrong number of fields"
+REJECT_VALUE = "Malformed "
 RUN_STAMP_FORMAT = "%Y%m%d_%H%M%S"
 SUMMARY_HEADER = "FRAUD PATTERN ANALYSIS SUMMARY"
 SUMMARY_GENERATED = "Generated: {}"
