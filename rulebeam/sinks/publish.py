@@ -1,7 +1,8 @@
 """K5: a commit protocol for result tables.
 
 A run writes its tables to a staging folder of its own, moves each to ``<base>/kind=<kind>/run_id=<run_id>`` and
-last of all writes its manifest, ``<base>/_manifests/<run_id>~<kinds>.json``. A reader
+last of all writes its manifest, ``<base>.commits/manifests/<run_id>~<kinds>.json`` (staging and manifests stand beside
+the results, so ``base`` holds tables only). A reader
 takes the newest manifest that names the kind it wants, so a run that dies half-way is never read, and neither
 is one that is still writing. Run ids hold the time to the microsecond and four random signs: two runs of one second stand
 side by side in order of time.
@@ -19,8 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import spec as S
 from ..session import delete_path, list_paths, make_folder, path_exists, rename_path, write_small_file
 
-MANIFESTS = "_manifests"
-STAGING = "_staging"
+MANIFESTS = ".commits/manifests"
+STAGING = ".commits/staging"
 
 
 def new_run_id() -> str:
@@ -31,9 +32,9 @@ def new_run_id() -> str:
 def committed(spark: SparkSession, base: str) -> list[tuple[str, list[str]]] | None:
     """(run id, kinds) of every manifest, newest first; None where ``base`` has no manifests at all."""
     base = base.rstrip("/")
-    if not path_exists(spark, f"{base}/{MANIFESTS}"):
+    if not path_exists(spark, f"{base}{MANIFESTS}"):
         return None
-    names = (re.search(r"/([^/]+)~([^/~]+)\.json$", p) for p in list_paths(spark, f"{base}/{MANIFESTS}/*.json"))
+    names = (re.search(r"/([^/]+)~([^/~]+)\.json$", p) for p in list_paths(spark, f"{base}{MANIFESTS}/*.json"))
     return sorted(((m.group(1), m.group(2).split("+")) for m in names if m), reverse=True)
 
 
@@ -49,10 +50,10 @@ class Publication:
         self.spark, self.base, self.run_id = spark, base.rstrip("/"), run_id or new_run_id()
         if re.search(r"[/~\s]", self.run_id):
             raise ValueError(f"a run id has no slash, tilde or space: {self.run_id!r}")
-        self.staging = f"{self.base}/{STAGING}/{self.run_id}-{os.urandom(4).hex()}"
+        self.staging = f"{self.base}{STAGING}/{self.run_id}-{os.urandom(4).hex()}"
         self.kinds: list[str] = []
         # Made first, so that nothing of this base is ever read without a manifest.
-        make_folder(spark, f"{self.base}/{MANIFESTS}")
+        make_folder(spark, f"{self.base}{MANIFESTS}")
 
     def path(self, kind: str) -> str:
         return f"{self.base}/kind={kind}/run_id={self.run_id}"
@@ -81,7 +82,7 @@ class Publication:
             delete_path(self.spark, self.path(kind))  # left by a run of this id that died before its manifest
             rename_path(self.spark, f"{self.staging}/kind={kind}", self.path(kind))
         text = json.dumps({"run_id": self.run_id, "tables": {k: f"kind={k}/run_id={self.run_id}" for k in self.kinds}})
-        write_small_file(self.spark, f"{self.base}/{MANIFESTS}/{self.run_id}~{'+'.join(self.kinds)}.json", text)
+        write_small_file(self.spark, f"{self.base}{MANIFESTS}/{self.run_id}~{'+'.join(self.kinds)}.json", text)
         delete_path(self.spark, self.staging)
         return self.run_id
 
@@ -105,7 +106,7 @@ def discard_unfinished(spark: SparkSession, base: str) -> list[str]:
             kind, run = re.search(r"kind=([^/]+)/run_id=([^/]+)$", path).groups()
             if (kind, run) not in named:
                 gone.append(path)
-    gone += list_paths(spark, f"{base}/{STAGING}/*")
+    gone += list_paths(spark, f"{base}{STAGING}/*")
     for path in gone:
         delete_path(spark, path)
     return gone

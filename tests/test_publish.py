@@ -60,7 +60,7 @@ def test_a_run_that_dies_is_not_read(spark, tmp_path):
         again.write(table(spark, "again"), "top")
     assert newest(spark, base) == "again"
     gone = discard_unfinished(spark, base)
-    assert [os.path.basename(g)[:15] for g in gone] == ["20240102_000000"] and not os.listdir(f"{base}/_staging")
+    assert [os.path.basename(g)[:15] for g in gone] == ["20240102_000000"] and not os.listdir(f"{base}.commits/staging")
     assert newest(spark, base) == "again"
 
 
@@ -108,8 +108,8 @@ def test_manifest_lists_the_tables(spark, tmp_path):
     with Publication(spark, base, "20240101_000000") as out:
         out.write(table(spark, "x"), "top")
         out.write(table(spark, "x").select(F.col("Pattern_Name").alias("line")), "summary_text", "text")
-    name = next(n for n in os.listdir(f"{base}/_manifests") if n.endswith(".json"))
+    name = next(n for n in os.listdir(f"{base}.commits/manifests") if n.endswith(".json"))
     assert name == "20240101_000000~top+summary_text.json"
-    with open(f"{base}/_manifests/{name}") as f:
+    with open(f"{base}.commits/manifests/{name}") as f:
         assert json.load(f)["tables"]["top"] == "kind=top/run_id=20240101_000000"
     assert "Rank" in EXPORT_COLUMNS
