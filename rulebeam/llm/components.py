@@ -14,16 +14,17 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60,
+                         base: str | None = None) -> DataFrame:
     """(node, root) for each node of ``edges``: root is the smallest node of
     its component. Self links and nulls are ignored, repeated links count once. An
-    empty table gives an empty table."""
-    e = materialize(_tidy(edges.select(F.col(a).alias("u"), F.col(b).alias("v"))), "links")
+    empty table gives an empty table. Tables are written under ``base``."""
+    e = materialize(_tidy(edges.select(F.col(a).alias("u"), F.col(b).alias("v"))), "links", base=base)
     seen = _mark(e)
     for _ in range(max_rounds):
         if not seen[0]:
             break
-        e = materialize(_small_star(_large_star(e)), "links")
+        e = materialize(_small_star(_large_star(e)), "links", base=base)
         now = _mark(e)
         if now == seen:
             break
