@@ -29,6 +29,7 @@ from ..session import materialize
 from ..spec import PatternSpec
 from .cells import totals
 from .domain import all_domains, item_domain, value_counts
+from .ranking import rank_by_ranges
 
 GEN_KEYS = ("g1", "g2", "g3", "g4")
 
@@ -157,31 +158,31 @@ def extend_patterns(cells: DataFrame, bases: DataFrame, spec: PatternSpec, level
     return apply_thresholds(g, spec, level)
 
 
-def rank_level(df: DataFrame, spec: PatternSpec | None = None) -> DataFrame:
+def first_of_itemset(df: DataFrame) -> DataFrame:
+    """The best row of each itemset of a level."""
+    first = Window.partitionBy("level", "_key").orderBy(F.desc("score"), *GEN_KEYS)
+    return (df.withColumn("_key", itemset_key(F.col("items")))
+            .withColumn("_dup", F.row_number().over(first)).filter("_dup = 1").drop("_key", "_dup"))
+
+
+def rank_level(df: DataFrame, spec: PatternSpec | None = None, workdir: str | None = None) -> DataFrame:
     """``level_rank`` = position in a stable score sort of generation
-    order. Partitioned by level; a level holds at most (candidate values x
-    beam) rows, bounded by the spec."""
-    w = Window.partitionBy("level").orderBy(F.desc("score"), *GEN_KEYS)
-    out = df.withColumn("level_rank", F.row_number().over(w))
-    if spec is not None and spec.dedupe:
-        first = Window.partitionBy("level", "_key").orderBy("level_rank")
-        out = (out.withColumn("_key", itemset_key(F.col("items")))
-               .withColumn("_dup", F.row_number().over(first)).filter("_dup = 1").drop("_key", "_dup")
-               .withColumn("level_rank", F.row_number().over(w)))
-    return out
+    order, per level, by a sort in ranges (any number of patterns)."""
+    df = materialize(first_of_itemset(df) if spec is not None and spec.dedupe else df, "unranked", base=workdir)
+    return rank_by_ranges(df, [F.desc("score"), *map(F.asc, ("level", *GEN_KEYS))], within="level", base=workdir).drop("rank")
 
 
 def beam(level_patterns: DataFrame, width: int) -> DataFrame:
-    """The ``width`` best patterns of a level."""
-    return level_patterns.filter(F.col("level_rank") <= width)
+    """The ``width`` best patterns of one level, with their ``level_rank``."""
+    order = [F.desc("score"), *map(F.asc, GEN_KEYS)]
+    best = level_patterns.orderBy(*order).limit(width)
+    return best.withColumn("level_rank", F.row_number().over(Window.orderBy(*order)))
 
 
-def rank_all(patterns: DataFrame) -> DataFrame:
-    """Merged list ranked by (score desc, level, level rank). The
-    pattern table is small (bounded by beam x domain), so one ordered window
-    is fine here; it never runs on rows or cells."""
-    w = Window.orderBy(F.desc("score"), "level", "level_rank")
-    return patterns.withColumn("rank", F.row_number().over(w))
+def rank_all(patterns: DataFrame, workdir: str | None = None) -> DataFrame:
+    """Merged list of written levels ranked by (score desc, level, generation order), with the
+    ``level_rank`` of each, by one sort in ranges (any number of patterns)."""
+    return rank_by_ranges(patterns, [F.desc("score"), *map(F.asc, ("level", *GEN_KEYS))], within="level", base=workdir)
 
 
 def mine(cells: DataFrame, spec: PatternSpec, workdir: str | None = None) -> DataFrame:
@@ -207,18 +208,18 @@ def mine(cells: DataFrame, spec: PatternSpec, workdir: str | None = None) -> Dat
     def domain(k):
         return domains.filter(F.col("level") == spec.domain_level(k)).drop("level")
 
-    level = materialize(rank_level(mine_pairs(cells, spec, n_total, p_total, domain(2)), spec), "level2",
-                        base=workdir)
+    def written(found, k):
+        return materialize(first_of_itemset(found) if spec.dedupe else found, f"level{k}", base=workdir)
+
+    level = written(mine_pairs(cells, spec, n_total, p_total, domain(2)), 2)
     levels = [level]
     for k in range(3, spec.max_len + 1):
-        bases = beam(level, spec.beam)
-        level = materialize(rank_level(extend_patterns(cells, bases, spec, k, n_total, p_total, domain(k)), spec),
-                            f"level{k}", base=workdir)
+        level = written(extend_patterns(cells, beam(level, spec.beam), spec, k, n_total, p_total, domain(k)), k)
         levels.append(level)
     merged = levels[0]
     for lv in levels[1:]:
         merged = merged.unionByName(lv)
-    ranked = rank_all(merged.drop(*GEN_KEYS))
+    ranked = rank_all(merged, workdir)
     return ranked.select(pattern_label(F.col("items")).alias("pattern_name"), "items", "level",
                          "pattern_total", "pattern_fraud", "support", "confidence", "lift", "score",
                          "level_rank", "rank", pattern_type(F.col("items")).alias("pattern_type"))

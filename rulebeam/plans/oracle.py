@@ -546,6 +546,21 @@ FROM (SELECT score, lift, unnest(feats) AS feature FROM allp) GROUP BY feature""
                    * (1::DOUBLE / pattern_total + 1::DOUBLE / (n_total - pattern_total))) END AS z_score
 FROM (SELECT allp.*, CAST(tot.n_total AS DOUBLE) AS n_total, CAST(tot.p_total AS DOUBLE) AS p_total
       FROM allp, tot WHERE rank <= {S.TOP_N})""", *mine),
+        # Every term of every tail, by log-gamma.
+        "false_discovery": q("""SELECT rank, pattern_name, n AS pattern_total, k AS pattern_fraud,
+  round(log_p / ln(10) + 0.0, 6) + 0.0 AS log10_p, round(log_q / ln(10) + 0.0, 6) + 0.0 AS log10_q, log_q <= ln(0.05) AS significant
+FROM (SELECT *, least(min(log_p + ln(tests / place)) OVER (ORDER BY place DESC), 0) AS log_q
+  FROM (SELECT *, row_number() OVER (ORDER BY log_p, rank) AS place, CAST(count(*) OVER () AS DOUBLE) AS tests
+    FROM (SELECT rank, pattern_name, n, k, least(max(top) + ln(sum(exp(term - top))), 0) AS log_p
+      FROM (SELECT *, max(term) OVER (PARTITION BY rank) AS top
+        FROM (SELECT *, lgamma(bp + 1) - lgamma(x + 1) - lgamma(bp - x + 1) + lgamma(bn - bp + 1) - lgamma(n - x + 1)
+              - lgamma(bn - bp - n + x + 1) - lgamma(bn + 1) + lgamma(n + 1) + lgamma(bn - n + 1) AS term
+          FROM (SELECT rank, pattern_name, CAST(pattern_total AS BIGINT) AS n, CAST(pattern_fraud AS BIGINT) AS k,
+                  CAST(n_total AS BIGINT) AS bn, CAST(p_total AS BIGINT) AS bp,
+                  unnest(generate_series(greatest(CAST(pattern_fraud AS BIGINT), CAST(pattern_total + p_total - n_total AS BIGINT)),
+                                         CAST(least(pattern_total, p_total) AS BIGINT))) AS x
+                FROM allp, tot) a) b) c
+      GROUP BY rank, pattern_name, n, k) d) e) f""", *mine),
         "confidence_drop": q("""SELECT count(*) AS n_valid,
   round(avg((train_confidence - test_confidence) / train_confidence), 12) AS avg_relative_drop,
   round(avg(train_confidence - test_confidence), 12) AS avg_absolute_drop

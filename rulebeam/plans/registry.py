@@ -20,6 +20,7 @@ from ..functions.metrics import with_rule_metrics
 from ..operators import profile as P
 from ..operators import report as R
 from ..operators.cells import build_cells, split_cells, total_columns
+from ..operators.discovery import false_discovery
 from ..operators.domain import item_domain, literal_table, top_values
 from ..operators.heavy import heavy_top_values
 from ..operators.mine import (extend_patterns, mine_pairs, pair_counts, rank_level, top_n)
@@ -387,6 +388,15 @@ def q_significance(spark, sf):
                                                       "confidence", "z_score")
 
 
+def q_false_discovery(spark, sf):
+    """Exact p and q values of all patterns kept."""
+    r = run(spark, sf)
+    found = false_discovery(r.patterns, r.train_cells, base=r.workdir)
+    return found.select("rank", "pattern_name", "pattern_total", "pattern_fraud",
+                        F.round(F.col("log_p") / F.log(F.lit(10.0)), 6).alias("log10_p"),
+                        F.round(F.col("log_q") / F.log(F.lit(10.0)), 6).alias("log10_q"), "significant")
+
+
 def q_confidence_drop(spark, sf):
     d = R.confidence_drop(run(spark, sf).validated)
     return d.select("n_valid", F.round("avg_relative_drop", 12).alias("avg_relative_drop"),
@@ -663,6 +673,7 @@ def all_queries() -> dict[str, Query]:
         "feature_matrix": q_feature_matrix,
         "feature_importance": q_feature_importance,
         "significance": q_significance,
+        "false_discovery": q_false_discovery,
         "confidence_drop": q_confidence_drop,
         "validation_long": q_validation_long,
         "chart_summary_exported": q_chart_summary_exported,
