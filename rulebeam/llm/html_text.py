@@ -12,7 +12,8 @@ scripts, styles and elements named as adverts, notices, sidebars, menus or
 comments are taken out first; but not an element with a name of its own that names the
 article (``class="post no-comments"``, unlike ``post-comments``), nor one that holds the page's <article> or
 <main>, nor, where nothing outside it is marked as the article, one that holds most of the paragraph
-points. These go by their points. Lists of links outside the article are left out; those in an
+points, nor a section of prose whose name tells what it is about (``related-work``, and in the
+article ``id="discussion"`` with a heading). These go by their points. Lists of links outside the article are left out; those in an
 <article> or <main>, or between paragraphs, belong to it.
 
 The text: character references decoded, white space inside a block squeezed to one
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -35,8 +37,8 @@ from .common import read_table, text_slices, texts_of
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe noembed noframes xmp".split())
 # Elements that are no article text, wherever they stand.
-DROP = frozenset("head script style noscript template iframe object embed svg math canvas audio video map nav aside "
-                 "form button select option input textarea label fieldset footer dialog menu".split())
+DROP = frozenset("head script style noscript template iframe object embed svg canvas audio video map nav aside "
+                 "annotation annotation-xml form button select option input textarea label fieldset footer dialog menu".split())
 BLOCK = frozenset("html body article section main div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr "
                   "td th caption blockquote pre figure figcaption address hr header footer nav aside form fieldset "
                   "details summary hgroup center".split())
@@ -56,49 +58,108 @@ comments community complementary consent contentinfo cookie cookies dialog discu
 masthead menu menubar modal nav navbar navigation newsletter notice notices notification overlay pager pagination
 paywall popup promo recommended related remark replies respond rss search share sharing sidebar sidenav signup social
 sponsor sponsored subscribe subscription toolbar tooltip widget""".split())
+# Those of them that also name what an article's section is about.
+ABOUT = frozenset("community dialog discussion foot login menu navigation recommended related remark search subscription".split())
+# Beside a word of ABOUT: what other pages of the site are called.
+OTHER_PAGES = frozenset("""
+article articles box bar button content form items links news pages post posts products reading stories story topics
+videos""".split())
+# Words of readers' comments.
+TALK = frozenset("comment commentlist comments disqus replies reply respond".split())
 # Words that name the article.
 LIKELY = frozenset("article body content entry hentry main page post story text".split())
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|"
-                    r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
+                    r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*'|[\"'])*+)(?:>|$)", re.S)
 _NAMES = re.compile(r"(?:^|[\s\"'])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))"
                     r"|(?=[\s/>]|$))", re.I | re.S)
 _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "names", "hidden", "likely", "kids", "up", "points", "size", "linked", "links", "prose", "marks")
+    __slots__ = ("tag", "names", "hidden", "likely", "kids", "up", "points", "size", "linked", "links", "prose", "marks",
+                 "heads", "talk", "chars", "anchors", "whole")
 
-    def __init__(self, tag, up=None, names=frozenset(), hidden=False, likely=False):
-        self.tag, self.up, self.names, self.hidden, self.likely = tag, up, names, hidden, likely
+    def __init__(self, tag, up=None, names=frozenset(), hidden=False, likely=False, whole=False):
+        self.tag, self.up, self.names, self.hidden, self.likely, self.whole = tag, up, names, hidden, likely, whole
+        self.heads = self.talk = self.chars = self.anchors = 0  # headings, parts of comments or forms, text, linked text
         self.prose = self.marks = 0  # paragraph points, and elements marked as the article
         self.kids: list = []  # Nodes and texts in page order
         self.points = 0.0
         self.size = self.linked = self.links = 0  # characters, those in links, links
 
 
+class Open:
+    """The open elements, with the depths at which each tag stands, so that no tag walks through others."""
+
+    def __init__(self, root: Node):
+        self.path, self.depths, self.blocks = [root], {}, [0]
+
+    def push(self, node: Node) -> None:
+        depth = len(self.path)
+        self.path.append(node)
+        self.depths.setdefault(node.tag, []).append(depth)
+        if node.tag in BLOCK:
+            self.blocks.append(depth)
+
+    def end(self, depth: int) -> None:
+        """End the element at a depth and all inside it."""
+        while len(self.path) > depth:
+            tag = self.path.pop().tag
+            self.depths[tag].pop()
+            if tag in BLOCK:
+                self.blocks.pop()
+
+    def last(self, tag: str) -> int:
+        """The depth of the innermost open element of a tag; 0 if there is none."""
+        at = self.depths.get(tag)
+        return at[-1] if at else 0
+
+    def close(self, tag: str) -> None:
+        """An end tag. One without its start tag is ignored; an inline one reaches no further than its block."""
+        depth = self.last(tag)
+        if depth and (tag in BLOCK or depth > self.blocks[-1]):
+            self.end(depth)
+
+    def make_room(self, tag: str) -> None:
+        """End elements that this start tag implies the end of."""
+        if tag in ENDS_P and self.path[self.blocks[-1]].tag == "p":
+            self.end(self.blocks[-1])
+        if tag in HEADING and self.path[-1].tag in HEADING:
+            self.end(len(self.path) - 1)
+        if tag in ENDS:
+            ended, stop = ENDS[tag]
+            bound = max(map(self.last, stop))
+            if tag == "tr":  # the outermost cell or row of this table
+                inside = [at[i] for at in map(self.depths.get, ended) if at for i in [bisect_right(at, bound)] if i < len(at)]
+                if inside:
+                    self.end(min(inside))
+            elif (depth := max(map(self.last, ended))) > bound:
+                self.end(depth)
+
+
 def parse(page: str) -> Node:
     """The tree of a page. A character reference is decoded in its text."""
     root = Node("#root")
-    at, pos, end = root, 0, len(page)
+    tree, pos, end = Open(root), 0, len(page)
     while pos < end:
         m = _TOKEN.search(page, pos)
         if not m:
-            at.kids.append(html.unescape(page[pos:]))
+            tree.path[-1].kids.append(html.unescape(page[pos:]))
             break
         if m.start() > pos:
-            at.kids.append(html.unescape(page[pos:m.start()]))
+            tree.path[-1].kids.append(html.unescape(page[pos:m.start()]))
         pos = m.end() if m.end() > m.start() else m.start() + 1
         if not m[2]:
             continue
         tag = m[2].lower()
         if m[1]:
-            at = _close(at, tag)
+            tree.close(tag)
             continue
-        at = _make_room(at, tag)
-        names, hidden, likely = _attributes(m[3]) if m[3] else (frozenset(), False, False)
-        node = Node(tag, at, names, hidden, likely)
+        tree.make_room(tag)
+        at = tree.path[-1]
+        node = Node(tag, at, *(_attributes(m[3]) if m[3] else ()))
         at.kids.append(node)
         if tag in RAW:
             stop = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(page, pos)
@@ -106,7 +167,7 @@ def parse(page: str) -> Node:
                 node.kids.append(html.unescape(page[pos:stop.start() if stop else end]))
             pos = stop.end() if stop else end
         elif tag not in VOID and not (m[3] or "").endswith("/"):
-            at = node
+            tree.push(node)
     return root
 
 
@@ -114,9 +175,9 @@ def _words(names: str) -> frozenset:
     return frozenset(w.lower() for w in _WORD.findall(names))
 
 
-def _attributes(raw: str) -> tuple[frozenset, bool, bool]:
-    """The words of class, id and role, whether the element is not shown, and whether one of its names
-    names the article and no other part."""
+def _attributes(raw: str) -> tuple[frozenset, bool, bool, bool]:
+    """The words of class, id and role, whether the element is not shown, whether one of its names
+    names the article and no other part, and whether one is made of words for other parts only."""
     names, hidden = [], False
     for m in _NAMES.finditer(raw):
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "")
@@ -127,42 +188,9 @@ def _attributes(raw: str) -> tuple[frozenset, bool, bool]:
         elif key == "hidden" or value.lower() == "true":
             hidden = True
     words = _words(" ".join(names))
-    likely = bool(words & LIKELY) and any(w & LIKELY and not w & UNLIKELY for w in map(_words, " ".join(names).split()))
-    return words, hidden, likely
-
-
-def _close(at: Node, tag: str) -> Node:
-    """The element that is open after an end tag; one without its start tag is ignored."""
-    n = at
-    while n.up is not None:
-        if n.tag == tag:
-            return n.up
-        if n.tag in BLOCK and tag not in BLOCK:  # an inline end tag reaches no further than its block
-            return at
-        n = n.up
-    return at
-
-
-def _make_room(at: Node, tag: str) -> Node:
-    """End elements that this start tag implies the end of."""
-    if tag in ENDS_P:
-        n = at
-        while n.up is not None and n.tag not in BLOCK:
-            n = n.up
-        if n.tag == "p":
-            at = n.up
-    if tag in HEADING and at.tag in HEADING:
-        at = at.up
-    if tag in ENDS:
-        ended, stop = ENDS[tag]
-        n = at
-        while n.up is not None and n.tag not in stop:
-            if n.tag in ended:
-                at = n.up
-                if tag != "tr":
-                    break
-            n = n.up
-    return at
+    each = [_words(name) for name in " ".join(names).split()] if words & (LIKELY | UNLIKELY) else []
+    likely = any(w & LIKELY and not w & UNLIKELY for w in each)
+    return words, hidden, likely, any(w and w <= UNLIKELY for w in each)
 
 
 def _marked(n: Node) -> bool:
@@ -170,7 +198,8 @@ def _marked(n: Node) -> bool:
 
 
 def _measure(root: Node) -> None:
-    """Paragraph points and marks of the article, of all elements that are shown."""
+    """Paragraph points, marks of the article, headings, traces of comments and forms, and text and linked text, of
+    all elements that are shown."""
     order, todo = [], [root]
     while todo:
         n = todo.pop()
@@ -182,9 +211,16 @@ def _measure(root: Node) -> None:
             if text:
                 n.prose += 1 + text.count(",") + text.count("，") + min(len(text) // 100, 3)
         n.marks += _marked(n)
+        n.heads += n.tag in HEADING
+        n.talk += bool(n.names & TALK) or any(isinstance(k, Node) and k.tag in ("form", "textarea") for k in n.kids)
+        n.chars += sum(len(k.strip()) for k in n.kids if isinstance(k, str))
         if n.up is not None:
             n.up.prose += n.prose
             n.up.marks += n.marks
+            n.up.heads += n.heads
+            n.up.talk += n.talk
+            n.up.chars += n.chars
+            n.up.anchors += n.chars if n.tag == "a" else n.anchors
 
 
 def _holds_article(n: Node, in_article: bool, page: Node, above: int) -> bool:
@@ -200,13 +236,25 @@ def _holds_article(n: Node, in_article: bool, page: Node, above: int) -> bool:
     return alone and 2 * n.prose > page.prose
 
 
+def _own_section(n: Node, in_article: bool) -> bool:
+    """Whether an element is a section of prose whose name tells what it is about (``related-work``): its
+    words for other parts are among ABOUT, it holds no comments, forms or lists of links, and, where a whole name is such a
+    word (``id="discussion"``), it stands in the article and has a heading."""
+    named = n.names & UNLIKELY
+    if not named <= ABOUT or n.names & OTHER_PAGES or n.talk or n.tag not in ("section", "div"):
+        return False
+    if n.prose < 2 or 4 * n.anchors > n.chars:
+        return False
+    return not n.whole or in_article and n.heads > 0
+
+
 def _other_part(n: Node, in_article: bool, page: Node, above: int) -> bool:
     """Whether an element is by its tag or names no part of the article."""
     if n.hidden or n.tag in DROP:
         return True
     if n.tag in ("html", "body", "article", "main") or n.tag in HEADING:
         return n.tag == "article" and "comment" in n.names
-    if n.names & UNLIKELY and not _holds_article(n, in_article, page, above):
+    if n.names & UNLIKELY and not _own_section(n, in_article) and not _holds_article(n, in_article, page, above):
         return True
     page_header = n.tag == "header" or "header" in n.names
     return page_header and not in_article and not n.names & {"article", "entry", "post", "story"}

@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 from pyspark.sql import Row
@@ -87,3 +88,41 @@ def test_edge_rows(spark):
     assert len(got) == 8 and by[1] == by[2] == ("", 0) and by[None] == by[3] == (P1, len(P1))
     assert by[4][0].count("\n") == 99_999
     assert extract_text(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("name", ['id="discussion"', 'class="search-results"', 'class="related-work"', 'class="menu"'])
+def test_sections_of_an_article_stay(name):
+    section = f"<section {name}><h2>What it is about</h2><p>{P3}</p></section>"
+    want = f"T\n{P1}\n{P2}\nWhat it is about\n{P3}"
+    assert main_text(f"<article><h1>T</h1><p>{P1}</p><p>{P2}</p>{section}</article>") == want
+    assert main_text(f"<body><nav>{MENU}</nav><main><h1>T</h1><div class='post-body'><p>{P1}</p><p>{P2}</p></div>{section}"
+                     "</main></body>") == want
+
+
+@pytest.mark.parametrize("part", [
+    f'<section id="discussion"><h2>Discussion</h2><div class="comment"><p>{P3}</p></div></section>',
+    f'<section id="discussion"><h2>Discussion</h2><p>{P3}</p><form><input name=c></form></section>',
+    f'<section id="discussion"><p>{P3}</p></section>',
+    f'<div class="related-posts"><h2>More</h2><p>{P3}</p></div>',
+    f'<div class="search-results"><h2>More</h2><p><a href="/x">{P3}</a></p></div>',
+    f'<div class="promo"><h2>Buy</h2><p>{P3}</p></div>', f'<div class="cookie-notice"><h2>We</h2><p>{P3}</p></div>',
+    f'<aside class="related-work"><h2>More</h2><p>{P3}</p></aside>',
+])
+def test_other_parts_inside_an_article_go(part):
+    assert main_text(f"<article><h1>T</h1><p>{P1}</p>{part}<p>{P2}</p></article>") == f"T\n{P1}\n{P2}"
+
+
+def test_formulas_stay():
+    page = f"<article><p>{P1} <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math></p><p>{P2}</p></article>"
+    assert main_text(page) == f"{P1} x=1\n{P2}"
+
+
+@pytest.mark.parametrize("page", [
+    "<b>" * 100_000 + "</i>" * 100_000, "<i><div>" + "<b>" * 100_000 + "</i>" * 100_000, "<b>" * 100_000 + "<hr>" * 100_000,
+    "<li><ul>" + "<b>" * 100_000 + "<li></li>" * 50_000, "<b>" * 100_000 + "<option></option>" * 50_000,
+    "<table><tr><td>" * 20_000 + "<tr>" * 50_000, '<a "' * 50_001, "<a '\"" * 50_001, "<p>" * 100_000, "<div>" * 100_000,
+])
+def test_broken_markup_takes_linear_time(page):
+    t = time.process_time()
+    main_text(page + f"<p>{P1}</p>")
+    assert time.process_time() - t < 5
