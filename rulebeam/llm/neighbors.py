@@ -3,12 +3,15 @@
 The largest inner product becomes the smallest distance by one more dimension: rows are divided
 by the largest norm of their range and filled up to norm 1, queries are normed. A range holds the rows
 of a chunk whose norms lie within a factor of ``RANGE``, so long vectors do not move the short ones
-away from the queries. A range of fewer than ``SCAN`` rows is compared in whole. Each of ``TABLES`` tables
+away from the queries; a row's range is part of its bucket's key. Each of ``TABLES`` tables
 hashes a vector to ``HASHES`` numbers floor((a.x + b) / WIDTH) with Gaussian a. For a query,
 a table's perturbed buckets (each number kept or moved by one) are ordered by their
-estimated success, the sum of the squared distances to the borders crossed, and the best
-``PROBES`` are visited; a query that has met fewer than k other ids in a chunk goes on to more
-buckets, and in the end to all rows of the chunk. The candidates of all tables are merged and
+estimated success, the sum of the squared distances to the borders crossed, and
+visited in steps (``STEPS``). After a step the k-th best score so far gives the distance at which a row of a range
+would still count; as its differences in the hashes are normal with that deviation, the chance that all
+tables have missed such a row is known, and a range is done once it is below ``MISS``, or no row of it can
+be near enough. A query that has met fewer than k other ids in the end is compared with
+all rows of the chunk. The candidates of all tables are merged and
 reranked by the exact inner product of the original vectors in double precision.
 
 Spark deals the index rows into chunks of about ``CHUNK`` rows by a hash of the row, so equal or
@@ -18,8 +21,7 @@ are sent to every chunk, in blocks of at most ``QUERY_BLOCK`` to a task. A chunk
 gives its nearest ``k`` for a query; a last aggregation keeps the nearest of all.
 
 Vectors that spread evenly over the sphere have neighbours hardly nearer than other rows;
-there the defaults visit most of a chunk to reach the recall of 0.9. Fewer probes
-suit clustered vectors.
+there a query visits most of a chunk. Among clustered vectors it stops after a few buckets.
 
 Defined results: null or zero vectors and vectors with null or non-finite components take no
 part; vectors are compared with those of their own length only; a repeated vec_id is one
@@ -31,6 +33,7 @@ vec_id; extra columns pass by unread.
 from __future__ import annotations
 
 import itertools
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -40,24 +43,28 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from .common import read_table
 
-TABLES, HASHES, WIDTH, PROBES = 12, 6, 1.5, 72
+TABLES, HASHES, WIDTH = 12, 6, 1.5
+STEPS = (4, 12, 36, 108, 324, 729)  # buckets visited in each table; 729 are all
+MISS = 0.1
 RANGE = 1.2
-SCAN = 512
 CHUNK = 16_384
 QUERY_BLOCK = 16_384
 K = 20
 SEED = 17
+# The normal distribution function on a grid.
+_GRID = np.linspace(-6, 6, 2401)
+_NORMAL = np.array([0.5 * math.erfc(-z / math.sqrt(2)) for z in _GRID])
 
 
 class ProbeTables:
     """Hash tables over unit vectors."""
 
     def __init__(self, dimension: int, tables: int = TABLES, hashes: int = HASHES, width: float = WIDTH,
-                 probes: int = PROBES, seed: int = SEED):
+                 miss: float = MISS, seed: int = SEED):
         rng = np.random.default_rng(seed)
         self.a = rng.normal(size=(tables, hashes, dimension))
         self.b = rng.uniform(0, width, (tables, hashes))
-        self.width, self.probes = width, probes
+        self.width, self.allowed = width, miss
         # All ways to keep or move each number by one.
         self.moves = np.array(list(itertools.product((0, -1, 1), repeat=hashes)))
         self.radix = 64 ** np.arange(hashes, dtype=np.int64)
@@ -69,13 +76,18 @@ class ProbeTables:
     def codes(self, whole: np.ndarray) -> np.ndarray:
         return ((whole.astype(np.int64) & 63) * self.radix).sum(axis=-1)
 
-    def fill(self, x: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Index of the rows of ``x``: per table its buckets and each row's bucket."""
-        codes = self.codes(np.floor(self.project(x)))
+    def fill(self, x: np.ndarray, part: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Index of the rows of ``x`` in ranges ``part``: per table its buckets and each row's bucket."""
+        codes = self.codes(np.floor(self.project(x))) + self.shift(part)[:, None]
         return [np.unique(codes[:, t], return_inverse=True) for t in range(codes.shape[1])]
 
-    def probe_codes(self, q: np.ndarray, probes: int | None = None) -> np.ndarray:
-        """Queries x tables x probes: codes in order of estimated success."""
+    def shift(self, part: np.ndarray) -> np.ndarray:
+        """What the buckets of a range have added to their codes."""
+        return part.astype(np.int64) * 64 * self.radix[-1]
+
+    def probes(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each query and table: the codes of all moves in order of estimated success, that order, and the
+        places in the home bucket."""
         f = self.project(q)
         home = np.floor(f)
         down = f - home
@@ -84,18 +96,27 @@ class ProbeTables:
         total = np.zeros((*down.shape[:2], len(self.moves)))
         for h in range(which.shape[1]):
             total += cost[:, :, h, :][:, :, which[:, h]]
-        order = np.argsort(total, axis=-1, kind="stable")[:, :, :probes or self.probes]
-        return self.codes(home[:, :, None, :] + self.moves[order])
-
-    @staticmethod
-    def candidates(filled: list[tuple[np.ndarray, np.ndarray]], codes: np.ndarray) -> np.ndarray:
-        """Which rows of an index are in a probed bucket of any table (tables x probes)."""
+        order = np.argsort(total, axis=-1, kind="stable")
+        return self.codes(home[:, :, None, :] + self.moves[order]), order, down
+
+    def missed(self, down: np.ndarray, order: np.ndarray, visited: int, distance: float) -> float:
+        """The chance that a row at a distance from the query is in none of the first ``visited`` buckets of any table."""
+        edges = (np.arange(-1, 3) - down[..., None]) * (self.width / max(distance, 1e-9))
+        mass = np.diff(np.interp(edges, _GRID, _NORMAL), axis=-1)  # of the moves -1, 0, 1 in each hash
+        seen = np.ones((len(down), visited))
+        for h in range(down.shape[1]):
+            seen *= np.take_along_axis(mass[:, h], self.moves[order[:, :visited], h] + 1, axis=1)
+        return float(np.prod(np.maximum(0, 1 - seen.sum(axis=1))))
+
+    def candidates(self, filled: list[tuple[np.ndarray, np.ndarray]], parts: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Which rows of an index are in a probed bucket (tables x probes) of any table, in any of the ranges."""
         met = np.zeros(len(filled[0][1]), bool)
         for t, (known, place) in enumerate(filled):
-            at = np.searchsorted(known, codes[t])
+            asked = (self.shift(parts)[:, None] + codes[t]).ravel()
+            at = np.searchsorted(known, asked)
             at[at == len(known)] = 0
             hit = np.zeros(len(known), bool)
-            hit[at[known[at] == codes[t]]] = True
+            hit[at[known[at] == asked]] = True
             met |= hit[place]
         return met
 
@@ -107,8 +128,8 @@ def _norms(x: np.ndarray) -> np.ndarray:
     return most * np.sqrt((y * y).sum(axis=1))
 
 
-def _to_index(x: np.ndarray, norm: float) -> np.ndarray:
-    y = x / norm
+def _to_index(x: np.ndarray, norm: np.ndarray) -> np.ndarray:
+    y = x / norm[:, None]
     return np.concatenate([y, np.sqrt(np.maximum(0, 1 - (y * y).sum(axis=1)))[:, None]], axis=1)
 
 
@@ -120,56 +141,68 @@ def _to_query(x: np.ndarray) -> np.ndarray:
 class Chunk:
     """The index of one chunk."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray, scan: int = SCAN, **tables):
-        self.ids, self.x, self.near = ids, x, x.astype(np.float32)
+    def __init__(self, ids: np.ndarray, x: np.ndarray, **tables):
+        self.ids, self.x = ids, x
         self.unique = len(np.unique(ids)) == len(ids)
         self.tables = ProbeTables(x.shape[1] + 1, **tables)
         norms = _norms(x)
         logs = np.log(norms)
         part = np.floor((logs.max() - logs) / np.log(RANGE) + 1e-9).astype(np.int64)
-        self.whole = np.zeros(len(x), bool)  # rows of small ranges
-        self.ranges = []
-        for p in np.unique(part):
-            rows = np.flatnonzero(part == p)
-            if len(rows) < scan:
-                self.whole[rows] = True
-            else:
-                self.ranges.append((rows, self.tables.fill(_to_index(x[rows], norms[rows].max()))))
-        self.scale = float(np.abs(x).max()) * x.shape[1]
-
-    def _met(self, codes: np.ndarray) -> np.ndarray:
-        """Rows of small ranges, and of the others those in a probed bucket."""
-        met = self.whole.copy()
-        for rows, filled in self.ranges:
-            met[rows] = self.tables.candidates(filled, codes)
-        return np.flatnonzero(met)
-
-    def _candidates(self, codes: np.ndarray, qi: int, v: np.ndarray, k: int) -> np.ndarray:
-        """Rows met by a query, of k other ids at least where the chunk has as many."""
-        probes = codes.shape[1]
-        while True:
-            rows = self._met(codes)
-            rows = rows[self.ids[rows] != qi]
-            if (len(rows) if self.unique else len(np.unique(self.ids[rows]))) >= k or not self.ranges:
-                return rows
-            if probes >= len(self.tables.moves):
-                return np.flatnonzero(self.ids != qi)
-            probes *= 4
-            codes = self.tables.probe_codes(_to_query(v[None]), probes)[0]
+        self.parts, place = np.unique(part, return_inverse=True)
+        longest = np.zeros(len(self.parts))
+        np.maximum.at(longest, place, norms)
+        self.filled = self.tables.fill(_to_index(x, longest[place]), part)
+        # In single precision, with the longest row at norm 1.
+        self.near, self.longest = (x / norms.max()).astype(np.float32), longest / norms.max()
+
+    def _rough(self, rows: np.ndarray, unit: np.ndarray) -> np.ndarray:
+        return np.einsum("nd,d->n", self.near[rows], unit, optimize=False)
+
+    def _kth(self, rows: np.ndarray, rough: np.ndarray, k: int) -> float | None:
+        """The k-th best score of different ids."""
+        if not self.unique:
+            ids, at = np.unique(self.ids[rows], return_inverse=True)
+            best = np.full(len(ids), -np.inf, rough.dtype)
+            np.maximum.at(best, at, rough)
+            rough = best
+        return None if len(rough) < k else float(np.partition(rough, len(rough) - k)[len(rough) - k])
+
+    def _candidates(self, probes: tuple, qi: int, unit: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows met by a query of direction ``unit``, of k other ids at least where the chunk has as many, and their
+        scores in single precision."""
+        codes, order, down = probes
+        left, met, before = np.arange(len(self.parts)), np.zeros(len(self.ids), bool), 0
+        rows, rough = np.zeros(0, np.int64), np.zeros(0, np.float32)
+        for visited in [n for n in STEPS if n < codes.shape[1]] + [codes.shape[1]]:
+            found = self.tables.candidates(self.filled, self.parts[left], codes[:, before:visited])
+            new = np.flatnonzero(found & ~met & (self.ids != qi))
+            met |= found
+            before = visited
+            rows, rough = np.concatenate([rows, new]), np.concatenate([rough, self._rough(new, unit)])
+            kth = self._kth(rows, rough, k)
+            if kth is not None:
+                square = 2 - 2 * kth / self.longest[left]
+                left = np.array([p for p, d in zip(left.tolist(), square.tolist()) if d > 0 and
+                                 self.tables.missed(down, order, visited, math.sqrt(d)) > self.tables.allowed], np.int64)
+                if not len(left):
+                    return rows, rough
+        if kth is None:
+            rows = np.flatnonzero(self.ids != qi)
+            rough = self._rough(rows, unit)
+        return rows, rough
 
     def search(self, q_ids: np.ndarray, q: np.ndarray, k: int) -> list[tuple]:
         """(query_id, vec_id, score) of each query's k nearest candidates here."""
         out = []
         for lo in range(0, len(q), 128):
-            codes = self.tables.probe_codes(_to_query(q[lo:lo + 128]))
-            for i in range(len(codes)):
+            units = _to_query(q[lo:lo + 128])
+            probes = self.tables.probes(units)
+            for i in range(len(units)):
                 qi, v = q_ids[lo + i], q[lo + i]
-                rows = self._candidates(codes[i], qi, v, k)
-                if len(rows) > k and self.unique:
-                    # Single precision first, with a margin above its error; exact scores decide.
-                    rough = np.einsum("nd,d->n", self.near[rows], v.astype(np.float32), optimize=False)
-                    margin = 1e-5 * self.scale * float(np.abs(v).max()) + 1e-30
-                    rows = rows[rough >= np.partition(rough, len(rows) - k)[len(rows) - k] - 2 * margin]
+                rows, rough = self._candidates(tuple(p[i] for p in probes), qi, units[i, :-1].astype(np.float32), k)
+                kth = self._kth(rows, rough, k)
+                if kth is not None:  # single precision first, with a margin above its error; exact scores decide
+                    rows = rows[rough >= kth - 1e-6 * len(v)]
                 score = (self.x[rows] * v).sum(axis=1)
                 best = np.lexsort((self.ids[rows], -score))
                 if not self.unique:  # the best row of an id

@@ -66,7 +66,7 @@ def test_all_probes_give_the_exact_result_in_many_chunks_and_blocks(spark):
         if i % 20 == 0:
             queries[i] = min(v, queries.get(i, v))
     got = results(nearest(vectors, vectors.where("vec_id % 20 = 0"), chunk=70, query_block=4, hashes=2, width=50.0,
-                          probes=9))
+                          miss=0.0))
     want = brute([r for r in rows if usable(r[1])], queries.items())
     assert {q: [i for _, i, _ in f] for q, f in got.items()} == {q: [i for _, i in w] for q, w in want.items() if w}
     for q, f in got.items():
@@ -108,9 +108,8 @@ def test_every_query_gets_k_rows_where_there_are_as_many(spark):
     rng = np.random.default_rng(4)
     for n in (2, 15, 21, 60):
         x = rng.normal(size=(n, 64))
-        for scan in (0, 512):
-            for _, found, _ in Chunk(np.arange(n), x, scan=scan).search(np.arange(n), -x, K):
-                assert len(set(found.tolist())) == min(K, n - 1)
+        for _, found, _ in Chunk(np.arange(n), x).search(np.arange(n), -x, K):
+            assert len(set(found.tolist())) == min(K, n - 1)
     rows = [(i, rng.normal(size=64).tolist()) for i in range(15)] + [(100 + i, rng.normal(size=5).tolist()) for i in range(21)]
     v = valid_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
     got = results(nearest(v, v))
@@ -119,7 +118,7 @@ def test_every_query_gets_k_rows_where_there_are_as_many(spark):
 
 def test_probes_come_in_order_of_estimated_success():
     rng = np.random.default_rng(2)
-    tables = ProbeTables(5, tables=2, hashes=3, width=1.0, probes=27)
+    tables = ProbeTables(5, tables=2, hashes=3, width=1.0)
     q = rng.normal(size=(1, 5))
     f = tables.project(q)[0, 1]
     home = np.floor(f)
@@ -127,6 +126,72 @@ def test_probes_come_in_order_of_estimated_success():
     for move in tables.moves.tolist():
         step = [(x - h) ** 2 if m < 0 else (1 - (x - h)) ** 2 if m > 0 else 0 for x, h, m in zip(f, home, move)]
         cost[int(tables.codes(home + move))] = sum(step)
-    order = tables.probe_codes(q)[0, 1].tolist()
+    order = tables.probes(q)[0][0, 1].tolist()
     assert len(set(order)) == 27 and order[0] == int(tables.codes(home))
     assert [cost[c] for c in order] == sorted(cost.values())
+
+
+def recall_and_visited(ids, x, k=K):
+    """By the tables of one chunk, for rows whose id is divisible by 20."""
+    chunk = Chunk(ids, x)
+    asked = np.flatnonzero(ids % 20 == 0)
+    hits = visited = wanted = 0
+    units = x[asked] / np.linalg.norm(x[asked], axis=1)[:, None]
+    probes = chunk.tables.probes(np.c_[units, np.zeros(len(asked))])
+    for i, (row, (_, found, _)) in enumerate(zip(asked, chunk.search(ids[asked], x[asked], k))):
+        s = x @ x[row]
+        s[row] = -np.inf
+        best = ids[np.argsort(-s)[:k]].tolist()
+        hits += len(set(best) & set(found.tolist()))
+        wanted += len(best)
+        visited += len(chunk._candidates(tuple(p[i] for p in probes), ids[row], units[i].astype(np.float32), k)[0])
+    return hits / wanted, visited / len(asked) / len(x)
+
+
+def test_chance_of_a_miss_is_the_share_that_is_missed():
+    """Rows at a distance from a query, hashed by drawn functions."""
+    rng = np.random.default_rng(8)
+    for distance, visited in ((0.5, 4), (0.9, 36), (1.1, 108)):
+        chance, missed = [], []
+        for seed in range(400):
+            tables = ProbeTables(8, tables=2, hashes=4, seed=seed)
+            q, step = rng.normal(size=(1, 8)), rng.normal(size=(1, 8))
+            row = q + distance * step / np.linalg.norm(step)
+            codes, order, down = tables.probes(q)
+            visited = min(visited, codes.shape[2])
+            chance.append(tables.missed(down[0], order[0], visited, distance))
+            filled = tables.fill(row, np.zeros(1, np.int64))
+            missed.append(not tables.candidates(filled, np.zeros(1, np.int64), codes[0, :, :visited])[0])
+        print(distance, np.mean(chance), np.mean(missed))
+        assert abs(np.mean(chance) - np.mean(missed)) < 0.06
+
+
+def test_few_rows_come_through_the_tables_too(spark):
+    for sf in (SF001, SF01):
+        t = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect() if usable(r.embedding)]
+        x = np.array([v for _, v in t], dtype=np.float64)
+        for scale in (1.0, np.random.default_rng(5).lognormal(size=len(x))[:, None]):
+            recall, visited = recall_and_visited(np.array([i for i, _ in t]), x * scale)
+            print(len(x), f"recall {recall:.3f} visited {visited:.3f}")
+            assert recall >= 0.9 and visited < 0.95
+
+
+def test_clustered_vectors_need_few_buckets():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 64))[rng.integers(0, 300, 16_384)] + 0.3 * rng.normal(size=(16_384, 64))
+    recall, visited = recall_and_visited(np.arange(16_384), x)
+    print(f"recall {recall:.3f} visited {visited:.3f}")
+    assert recall >= 0.9 and visited < 0.3
+
+
+def test_several_chunks_of_the_default_size(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(1000, 16))[rng.integers(0, 1000, 60_000)] + 0.3 * rng.normal(size=(60_000, 16))
+    v = valid_vectors(spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>"))
+    got = results(nearest(v, v.where("vec_id % 600 = 0")))
+    hits = 0
+    for q, found in got.items():
+        s = x @ x[q]
+        s[q] = -np.inf
+        hits += len(set(np.argsort(-s)[:K].tolist()) & {i for _, i, _ in found})
+    assert len(got) == 100 and hits >= 0.9 * K * 100
