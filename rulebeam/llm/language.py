@@ -6,7 +6,8 @@ to ``BUCKETS`` rows of an embedding table. A text's vector is the mean of its
 subwords' embeddings; a linear layer and softmax give a probability per language.
 
 Fit: about ``SAMPLE`` labelled rows in all, as many of each language (all of a rarer one, and
-``LEAST`` at least), taken by a hash of doc_id and text over the whole table (never by
+``LEAST`` at least), of the ``MOST_LANGUAGES`` most frequent languages and of about ``SAMPLE_BYTES`` of text at
+most (fewer rows where texts are long, never parts of texts), taken by a hash of doc_id and text over the whole table (never by
 position), whole texts. Rows of one doc_id and equal text are drawn together and collected once with their
 number; where these make more than twice the rows meant for a language, all its numbers are cut in
 proportion, to one at least. Their subword counts (at most BUCKETS numbers a row) are made on the
@@ -38,6 +39,8 @@ BUCKETS_BITS = 15
 BUCKETS = 1 << BUCKETS_BITS
 DIMENSION = 16
 SAMPLE, LEAST = 6000, 50
+# Bounds of what the driver gets: bytes of the texts whose subwords it learns from, and languages.
+SAMPLE_BYTES, MOST_LANGUAGES = 32 << 20, 256
 EPOCHS = 6
 RATE = 0.5
 REJECT_SHARE = 0.001
@@ -158,17 +161,21 @@ def _spread() -> F.Column:
     return F.shiftrightunsigned(F.xxhash64("doc_id", "text", F.lit("language sample")), 11) / F.lit(float(1 << 53))
 
 
-def fit_language(docs: DataFrame, sample_rows: int = SAMPLE) -> LanguageModel:
-    """Learn from rows of ``docs`` (doc_id, text, lang) that are not held out."""
+def fit_language(docs: DataFrame, sample_rows: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES,
+                 most_languages: int = MOST_LANGUAGES) -> LanguageModel:
+    """Learn from rows of ``docs`` (doc_id, text, lang) that are not held out, of the ``most_languages`` most
+    frequent languages: about ``sample_rows`` whole texts of about ``sample_bytes`` together at most."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.col("lang").cast("string").alias("lang")).where("lang IS NOT NULL AND text IS NOT NULL")
     rows = rows.where(~_held_out())
     # The languages are the model's classes; the driver needs their names and sizes anyway.
-    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    sizes = {r.lang: r for r in rows.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("size"))
+             .orderBy(F.desc("n"), "lang").limit(most_languages).collect()}
     if not sizes:
         return LanguageModel()
-    per_language = max(LEAST, sample_rows // len(sizes))
-    share = F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, per_language / n)])
+    per_language, bytes_each = max(LEAST, sample_rows // len(sizes)), sample_bytes / len(sizes)
+    share = F.create_map(*[F.lit(x) for lang, r in sorted(sizes.items())
+                           for x in (lang, min(per_language / r.n, bytes_each / max(1, r.size)))])
     sample = (rows.withColumn("spread", _spread()).where(F.col("spread") < F.try_element_at(share, F.col("lang")))
               .groupBy("spread", "lang").agg(F.count("*").alias("copies"), F.min("text").alias("text")))
 

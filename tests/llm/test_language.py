@@ -109,3 +109,23 @@ def test_a_frequent_id_is_sampled_like_other_rows(spark, monkeypatch):
         language.fit_language(base.unionByName(more).withColumn("lang", F.lit("en")), sample_rows=300)
     print(sizes)
     assert all(220 <= n <= 400 for n in sizes[:3]) and 150 <= sizes[3] <= 600
+
+
+def test_sample_is_bounded_by_bytes_and_languages(spark, monkeypatch):
+    """500 language values, and texts longer than the bound allows for all rows."""
+    from pyspark.sql import functions as F
+
+    from rulebeam.llm import language
+
+    seen = []
+    monkeypatch.setattr(language, "train", seen.append)
+    dirty = spark.range(20_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("words of text "), "id").alias("text"),
+                                       F.concat(F.lit("l"), F.least(F.col("id") % 1000, F.lit(499))).alias("lang"))
+    language.fit_language(dirty)
+    drawn = {lang for lang, _, _ in seen[0]}
+    assert len(drawn) == language.MOST_LANGUAGES and "l499" in drawn
+    assert len(seen[0]) <= 2 * language.LEAST * language.MOST_LANGUAGES
+    long = spark.range(2000).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"),
+                                    F.concat(F.expr("repeat('long text ', 1000)"), "id").alias("text"))
+    language.fit_language(long, sample_bytes=1 << 20)
+    assert 50 <= len(seen[1]) <= 170  # 105 texts of 10 kB are expected
