@@ -11,7 +11,8 @@ most (fewer rows where texts are long, never parts of texts), taken by a hash of
 position), whole texts. Rows of one doc_id and equal text are drawn together and collected once with their
 number; where these make more than twice the rows meant for a language, all its numbers are cut in
 proportion, to one at least. Their subword counts (at most BUCKETS numbers a row) are made on the
-executors; the driver trains on these. Every fifth
+executors; the driver gets them as Arrow batches of narrow integers, 3 bytes a subword as a rule, and trains on
+these in place. Every fifth
 row of the sample is kept out of training and fixes two numbers: the temperature that
 makes the probabilities fit, and the rejection threshold, below which ``REJECT_SHARE``
 of these rows of known languages lie (0.5 at most).
@@ -51,6 +52,8 @@ _FOLD[0x80:] = np.arange(0x80, 256)
 _FOLD[0x61:0x7B] = np.arange(0x61, 0x7B)
 _FOLD[0x41:0x5B] = np.arange(0x61, 0x7B)
 _MULTIPLY = np.uint32(2654435761)
+# Subwords and their counts on their way to the driver. A row's counts have the first type that holds them all.
+_IDS, _COUNTS = np.dtype("<u2"), [np.dtype(t) for t in ("<u1", "<u2", "<u4")]
 
 
 def subwords(data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -152,6 +155,16 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 11) -> Lan
     return model
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    return counts.astype(next(t for t in _COUNTS if counts.max(initial=0) <= np.iinfo(t).max)).tobytes()
+
+
+def _unpacked(ids: memoryview, counts: memoryview) -> tuple[np.ndarray, np.ndarray]:
+    """The subwords and counts of a row, over the memory given."""
+    buckets = np.frombuffer(ids, _IDS)
+    return buckets, np.frombuffer(counts, next(t for t in _COUNTS if t.itemsize * len(buckets) == counts.nbytes))
+
+
 def _held_out() -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
 
@@ -186,22 +199,25 @@ def fit_language(docs: DataFrame, sample_rows: int = SAMPLE, sample_bytes: int =
             for i in range(part.num_rows):
                 both = np.concatenate([b[at[i]:at[i + 1]] for b, at in grams])
                 u, c = np.unique(both, return_counts=True)
-                ids.append(u.astype("<i4").tobytes() if ok[i] else b"")
-                cnt.append(c.astype("<i4").tobytes())
+                ids.append(u.astype(_IDS).tobytes() if ok[i] else b"")
+                cnt.append(_packed(c) if ok[i] else b"")
             yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(3)), pa.array(ids, pa.binary()),
                                               pa.array(cnt, pa.binary())],
                                              names=["spread", "lang", "copies", "ids", "counts"])
 
-    got = sample.mapInArrow(features, "spread double, lang string, copies long, ids binary, counts binary").collect()
-    got = sorted(r for r in ((r.spread, r.lang, bytes(r.ids), bytes(r.counts), r.copies) for r in got) if r[2])
+    got = sample.mapInArrow(features, "spread double, lang string, copies long, ids binary, counts binary").toArrow()
+    spread, langs, numbers = (got.column(c).to_pylist() for c in ("spread", "lang", "copies"))
+    ids, cnt = ([x.as_buffer() for x in got.column(c)] for c in ("ids", "counts"))
+    order = sorted((i for i in range(got.num_rows) if ids[i].size), key=lambda i: (spread[i], langs[i]))
     drawn = Counter()
-    for _, lang, _, _, copies in got:
-        drawn[lang] += copies
+    for i in order:
+        drawn[langs[i]] += numbers[i]
     learned = []
-    for _, lang, a, c, copies in got:
-        if drawn[lang] > 2 * per_language:
-            copies = max(1, copies * per_language // drawn[lang])
-        learned += [(lang, np.frombuffer(a, "<i4"), np.frombuffer(c, "<i4").astype(float))] * copies
+    for i in order:
+        copies = numbers[i]
+        if drawn[langs[i]] > 2 * per_language:
+            copies = max(1, copies * per_language // drawn[langs[i]])
+        learned += [(langs[i], *_unpacked(memoryview(ids[i]), memoryview(cnt[i])))] * copies
     return train(learned)
 
 

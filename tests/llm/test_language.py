@@ -1,4 +1,5 @@
 import zlib
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import Row
@@ -129,3 +130,18 @@ def test_sample_is_bounded_by_bytes_and_languages(spark, monkeypatch):
                                     F.concat(F.expr("repeat('long text ', 1000)"), "id").alias("text"))
     language.fit_language(long, sample_bytes=1 << 20)
     assert 50 <= len(seen[1]) <= 170  # 105 texts of 10 kB are expected
+
+
+def test_the_driver_gets_narrow_numbers(spark, monkeypatch):
+    """Three bytes a subword as a rule; counts of any size come back as they were."""
+    from rulebeam.llm import language
+    got = []
+    monkeypatch.setattr(language, "train", got.extend)
+    text = "abc " * 70_000 + "xyz " * 300 + "once"
+    fit_language(spark.createDataFrame([(i, t, "en") for i, t in enumerate(["plain words here", text] * 5)],
+                                       "doc_id long, text string, lang string"))
+    assert got and {len(b) == len(c) for _, b, c in got} == {True}
+    small = [r for r in got if r[2].max() < 256]
+    assert small and all(b.nbytes + c.nbytes <= 3 * len(b) for _, b, c in small)
+    grams = Counter(np.concatenate([b for b, _ in subwords(*slice_of([text]))]).tolist())
+    assert any(dict(zip(b.tolist(), c.tolist())) == grams for _, b, c in got)
